@@ -182,7 +182,7 @@ def flexible_iso(c: Column | str) -> Column:
 def scrub_birth_date(birth: Column | str, updated: Column | str, cutoff: str = "2019-07-31") -> Column:
     """Drop the 1901-01-01 filler; after the cut-off only day and month are kept,
     under the leap year 1904."""
-    value = F.try_to_date(F.trim(column(birth)), F.lit("yyyy-MM-dd"))
+    value = F.try_to_date(F.trim(column(birth)), "yyyy-MM-dd")
     masked = F.make_date(F.lit(1904), F.month(value), F.day(value))
     late = F.coalesce(column(updated) > cutoff, F.lit(False))
     return F.when(column(birth) == "1901-01-01", F.lit(None)).otherwise(

@@ -23,6 +23,7 @@ def build_session(app_name: str = "kinloom", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
