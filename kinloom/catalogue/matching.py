@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import similarity_text
+from ..functions.text import blanks_to_null, similarity_text
 from ..operators import match
+from ..plans import resolve
+from ..session import cut_lineage
 from .registry import Source, query
+from .resolution import CONTEXT, GUEST_RULE_CTES, ORDER, STAMP
 from .scalars import SIMILARITY_SQL
 
 FEATURES = [
@@ -195,3 +198,99 @@ def with_originals(source: Source):
     store = source.store().select("source_name", "source_customer_id", "ml_email_address")
     normal = store.withColumn("ml_email_address", F.lower(F.trim("ml_email_address")))
     return match.with_originals(store, normal)
+
+
+# ---- the whole chain -----------------------------------------------------
+
+CLEAN = "* REPLACE (" + ", ".join(
+    f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END AS {c}" for c in FEATURES
+) + ")"
+
+# Candidates: stored rows with a similar text or a shared e-mail, guest id or id.
+CANDIDATE_CTES = (
+    SIMILAR_CTES.replace("FROM batch)", "FROM to_match)")
+    + f""",
+by_text AS (SELECT batch_record_id AS r FROM store WHERE {SIMILARITY_SQL} IN (
+  SELECT text FROM st WHERE head IN (SELECT similar_record_id FROM ranked WHERE rn <= 5))),
+pool AS (SELECT * FROM ({EXTENDED_SQL.replace("FROM batch", "FROM to_match")}) UNION SELECT * FROM store WHERE batch_record_id IN (SELECT r FROM by_text))
+"""
+)
+
+RESOLVE_CTES = f"""
+raw_batch AS (SELECT * FROM batch),
+clean_batch AS (SELECT {CLEAN} FROM raw_batch),
+{EXACT_CTES.replace("FROM batch)", "FROM clean_batch)")},
+to_match AS (SELECT * EXCLUDE (digest, newness, processing_scenario, delete_flag, known_uxid)
+    REPLACE (CASE WHEN processing_scenario = 2 THEN coalesce(uxid, known_uxid) ELSE uxid END AS uxid)
+  FROM matched WHERE delete_flag = 'N' AND processing_scenario IN (2, 4)),
+{CANDIDATE_CTES},
+together AS (SELECT *, true AS own FROM to_match UNION ALL SELECT *, false FROM pool),
+{entity_ctes('together')},
+with_match AS (SELECT t.*, match_id, confidence FROM together t LEFT JOIN entities ON batch_record_id = r),
+group_ids AS (SELECT match_id AS g, uxid AS g_uxid FROM (
+  SELECT match_id, uxid, row_number() OVER (PARTITION BY match_id ORDER BY {ORDER}) AS rn
+  FROM with_match WHERE match_id IS NOT NULL AND uxid IS NOT NULL) WHERE rn = 1),
+assigned AS (SELECT w.* REPLACE (
+    CASE WHEN uxid IS NULL AND match_id IS NOT NULL THEN coalesce(g_uxid, md5(concat('match|', cast(match_id AS varchar)))) ELSE uxid END AS uxid,
+    CASE WHEN uxid IS NULL AND match_id IS NOT NULL THEN confidence ELSE uxid_confidence END AS uxid_confidence,
+    CASE WHEN uxid IS NULL AND match_id IS NOT NULL THEN '{STAMP}' ELSE id_res_last_updated_timestamp END AS id_res_last_updated_timestamp)
+  FROM with_match w LEFT JOIN group_ids ON match_id = g),
+{GUEST_RULE_CTES.replace("FROM ident)", "FROM assigned)")},
+email_keyed AS (SELECT *, nullif(lower(trim(ml_email_address)), '') AS ek FROM guest_ruled),
+email_best AS (SELECT ek AS w_key, uxid AS w_id, uxid_confidence AS w_conf, id_res_last_updated_timestamp AS w_ts FROM (
+    SELECT *, row_number() OVER (PARTITION BY ek ORDER BY {ORDER}) AS rn FROM email_keyed WHERE ek IS NOT NULL AND uxid IS NOT NULL) WHERE rn = 1),
+email_ruled AS (SELECT k.* REPLACE (coalesce(w_id, uxid) AS uxid,
+    CASE WHEN w_key IS NULL THEN uxid_confidence ELSE w_conf END AS uxid_confidence)
+  FROM email_keyed k LEFT JOIN email_best ON ek = w_key),
+settled AS (SELECT batch_record_id, CASE WHEN uxid IS NULL AND concat(coalesce(ml_first_name, ''), coalesce(ml_middle_name, ''),
+    coalesce(ml_last_name, ''), coalesce(ml_address_line_1, ''), coalesce(ml_address_line_2, ''), coalesce(ml_birth_date, ''),
+    coalesce(ml_phone, ''), coalesce(rules_guest_id, '')) = '' AND ml_email_address IS NOT NULL
+    THEN md5(concat('new|', trim(ml_email_address))) ELSE uxid END AS uxid, uxid_confidence FROM email_ruled WHERE own),
+export AS (SELECT batch_record_id, uxid, uxid_confidence FROM settled
+  UNION ALL SELECT batch_record_id, known_uxid, uxid_confidence FROM matched WHERE delete_flag = 'N' AND processing_scenario IN (1, 3))
+"""
+
+
+def resolution_of(source: Source):
+    return resolve.resolve_batch(source.batch(), source.store(), CONTEXT)
+
+
+@query("id07_resolve_batch", ident=True, sql=f"WITH {RESOLVE_CTES} SELECT batch_record_id, uxid, uxid_confidence FROM export")
+def resolve_batch(source: Source):
+    return resolution_of(source).export.select("batch_record_id", "uxid", "uxid_confidence")
+
+
+@query(
+    "id08_store_after_batch",
+    ident=True,
+    sql=f"""WITH {RESOLVE_CTES},
+written AS (SELECT b.source_name, b.source_customer_id, e.batch_record_id, e.uxid FROM export e JOIN raw_batch b USING (batch_record_id) WHERE e.uxid IS NOT NULL)
+SELECT coalesce(w.source_name, s.source_name) AS source_name, coalesce(w.source_customer_id, s.source_customer_id) AS source_customer_id,
+  coalesce(w.batch_record_id, s.batch_record_id) AS batch_record_id, coalesce(w.uxid, s.uxid) AS uxid,
+  CASE WHEN w.batch_record_id IS NOT NULL THEN '{CONTEXT.job_id}' END AS updated_by_incremental_batch_id
+FROM store s FULL JOIN written w ON s.source_name = w.source_name AND s.source_customer_id = w.source_customer_id""",
+)
+def store_after_batch(source: Source):
+    return resolution_of(source).store.select(
+        "source_name", "source_customer_id", "batch_record_id", "uxid", "updated_by_incremental_batch_id"
+    )
+
+
+@query(
+    "er04_match_ids",
+    ident=True,
+    sql=f"""WITH {RESOLVE_CTES} SELECT batch_record_id, uxid, uxid_confidence, id_res_last_updated_timestamp FROM assigned WHERE own""",
+)
+def match_ids(source: Source):
+    """Ids taken from match groups, before the rules."""
+    clean = blanks_to_null(source.batch())
+    routed = match.route_exact(match.exact_match(clean, source.store()))
+    known = F.when(F.col("processing_scenario") == 2, F.coalesce("uxid", "known_uxid")).otherwise(F.col("uxid"))
+    to_match = cut_lineage(routed["match"].withColumn("uxid", known).drop("known_uxid"))
+    together = to_match.withColumn("own", F.lit(True)).unionByName(
+        resolve.candidates(to_match, source.store()).withColumn("own", F.lit(False)), allowMissingColumns=True
+    )
+    assigned = resolve.assign_by_match(match.match_entities(together), CONTEXT)
+    return assigned.filter("own").select(
+        "batch_record_id", "uxid", "uxid_confidence", "id_res_last_updated_timestamp"
+    )
