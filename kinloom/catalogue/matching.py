@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import blanks_to_null, similarity_text
+from ..functions.text import similarity_text
 from ..operators import match
 from ..plans import resolve
-from ..session import cut_lineage
 from .registry import Source, query
 from .resolution import CONTEXT, GUEST_RULE_CTES, ORDER, STAMP
 from .scalars import SIMILARITY_SQL
@@ -283,14 +282,7 @@ def store_after_batch(source: Source):
 )
 def match_ids(source: Source):
     """Ids taken from match groups, before the rules."""
-    clean = blanks_to_null(source.batch())
-    routed = match.route_exact(match.exact_match(clean, source.store()))
-    known = F.when(F.col("processing_scenario") == 2, F.coalesce("uxid", "known_uxid")).otherwise(F.col("uxid"))
-    to_match = cut_lineage(routed["match"].withColumn("uxid", known).drop("known_uxid"))
-    together = to_match.withColumn("own", F.lit(True)).unionByName(
-        resolve.candidates(to_match, source.store()).withColumn("own", F.lit(False)), allowMissingColumns=True
-    )
-    assigned = resolve.assign_by_match(match.match_entities(together), CONTEXT)
-    return assigned.filter("own").select(
+    found = resolve.match_batch(source.batch(), source.store(), CONTEXT)
+    return found.rows.filter("_own").select(
         "batch_record_id", "uxid", "uxid_confidence", "id_res_last_updated_timestamp"
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import person_digest
 from ..functions.text import lookup_key
 from ..schema import KEY_COLUMNS, PERSON_COLUMNS
+from ..session import cut_lineage
 from .graph import connected_components
 from .groups import attach, top_per_group
 from .project import mark_original
@@ -104,6 +105,11 @@ def route_exact(matched: DataFrame) -> dict[str, DataFrame]:
 _EPS = 1e-9
 
 
+def _shared_words(size: Column, threshold: float) -> Column:
+    """Fewest words a text of this size shares with any similar one."""
+    return F.ceil(size * F.lit(threshold) - F.lit(_EPS)).cast("int")
+
+
 def _token_sets(texts: DataFrame) -> DataFrame:
     """(side, text, tokens): distinct words per text, rarest first.
 
@@ -131,7 +137,7 @@ def _signatures(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     twice, so pairs of prefix tokens serve as signatures.  A word common to a
     third of all texts then never forms a group by itself.
     """
-    need = F.ceil(F.size("tokens") * F.lit(threshold) - F.lit(_EPS)).cast("int")
+    need = _shared_words(F.size("tokens"), threshold)
     prefix = F.slice("tokens", F.lit(1), F.size("tokens") - need + (2 if pairs else 1))
     if not pairs:
         return sets.select("*", F.explode(prefix).alias("signature"))
@@ -148,6 +154,8 @@ def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     right = keyed.filter("side = 'store'").select("signature", F.col("text").alias("other"), F.col("tokens").alias("y"))
     big, small = F.greatest(F.size("x"), F.size("y")), F.least(F.size("x"), F.size("y"))
     joined = left.join(right, "signature").filter(small >= big * F.lit(threshold) - F.lit(_EPS))
+    if not pairs:
+        joined = joined.filter(_shared_words(small, threshold) < 2)
     shared = joined.withColumn("_both", F.array_intersect("x", "y"))
     # A pair meets under several signatures; it counts under the first one only.
     lead = F.concat_ws("\u0001", F.slice("_both", 1, 2)) if pairs else F.get("_both", F.lit(0))
@@ -169,25 +177,22 @@ def similar_topk(
 
     Records with equal texts are one text, named by its smallest record id, so a
     heavily copied text costs as much as a single one.  Every pair at or above
-    the threshold is found.  Texts of fewer than ``2 / threshold`` words may
-    share a single word and use one-word signatures among themselves.
+    the threshold is found: texts that must share two words meet under pairs of
+    words, the few so short that one word may do meet under single words.
     """
     heads = [
         df.filter(F.trim(text) != "").groupBy(F.col(text).alias("text")).agg(F.min(record).alias(name))
         for df, name in ((batch, "head"), (store, "other_head"))
     ]
     sides = heads[0].select(F.lit("batch").alias("side"), "text").union(heads[1].select(F.lit("store"), "text"))
-    sets = _token_sets(sides)
-    one_word = F.ceil(F.size("tokens") * F.lit(threshold) - F.lit(_EPS)) < 2
-    short = sets.filter(F.size("tokens") * F.lit(threshold) <= F.lit(1 / threshold + _EPS))
-    small_pairs = _similar_pairs(short, threshold, pairs=False).join(
-        sets.filter(one_word).select("text").distinct(), "text", "left_semi"
+    # Tokenised once; both kinds of signatures read it on both sides.
+    sets = cut_lineage(_token_sets(sides))
+    lone = _shared_words(F.size("tokens"), threshold) < 2
+    # A partner of a one-word text has at most 1 / t times its words.
+    small = F.size("tokens") * F.lit(threshold * threshold) <= F.lit(1 + _EPS)
+    found = _similar_pairs(sets.filter(~lone), threshold, pairs=True).unionByName(
+        _similar_pairs(sets.filter(small), threshold, pairs=False)
     )
-    small_other = _similar_pairs(short, threshold, pairs=False).join(
-        sets.filter(one_word).select(F.col("text").alias("other")).distinct(), "other", "left_semi"
-    )
-    long_pairs = _similar_pairs(sets.filter(~one_word), threshold, pairs=True)
-    found = long_pairs.unionByName(small_pairs.unionByName(small_other).distinct())
     named = found.join(heads[0], "text").join(heads[1].withColumnRenamed("text", "other"), "other")
     ranked = top_per_group(named, ["head"], [F.col("score").desc(), F.col("other_head")], k)
     return ranked.select(F.col("head").alias(record), F.col("other_head").alias("similar_record_id"), "score")
@@ -297,21 +302,26 @@ def match_entities(
         F.min(record).alias("head"), F.count(F.lit(1)).alias("copies")
     )
     offers = F.flatten(F.array_compact(F.array(*[_rule_keys(i, r) for i, r in enumerate(rules)])))
-    keyed = profiles.select("head", "copies", F.explode(offers).alias("o")).select("head", "copies", "o.*")
+    keyed = profiles.select("_profile", "head", "copies", F.explode(offers).alias("o")).select(
+        "_profile", "head", "copies", "o.*"
+    )
     groups = (
         keyed.groupBy("key")
         .agg(F.min("head").alias("first"), F.sum("copies").alias("records"))
         .filter("records > 1")
+        .drop("records")
+    )
+    # One narrow row per profile with company; its links number at most its keys.
+    # Components, confidence and the result all start from it.
+    linked = cut_lineage(
+        keyed.join(groups, "key")
+        .groupBy("_profile", "head")
+        .agg(F.max("confidence").alias("ConfidenceLevel"), F.collect_set("first").alias("links"))
     )
-    company = keyed.join(groups, "key")
-    best = company.groupBy("head").agg(F.max("confidence").alias("ConfidenceLevel"))
-    edges = company.filter("head <> first").select(F.col("head").alias("src"), F.col("first").alias("dst")).distinct()
-    labels = connected_components(best.select(F.col("head").alias("id")), edges)
-    result = (
-        profiles.select("_profile", "head")
-        .join(best, "head")
-        .join(labels.withColumnRenamed("id", "head"), "head")
-        .select("_profile", F.col("component").alias("MatchID"), "ConfidenceLevel")
+    edges = linked.select(F.col("head").alias("src"), F.explode("links").alias("dst"))
+    labels = connected_components(linked.select(F.col("head").alias("id")), edges)
+    result = linked.join(labels.withColumnRenamed("id", "head"), "head").select(
+        "_profile", F.col("component").alias("MatchID"), "ConfidenceLevel"
     )
     kept = rows.drop(*[f"_e_{n}" for n in names])
     return kept.join(result, "_profile", "left").drop("_profile")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import iso_millis, instant
 from ..functions.keys import stable_id
 from ..functions.text import is_blank, lookup_key
+from ..session import cut_lineage
 from .groups import attach, election_order, top_per_group
 from .graph import connected_components, star_edges
 
@@ -89,14 +90,20 @@ def elect_component_id(df: DataFrame, components: DataFrame, strict: bool = True
     The election runs per candidate id first, so only one row per id meets the
     component labels; the rows themselves are shuffled once, for the final join.
     """
+    return _take_elected(df, components, _finalists(df), strict)
+
+
+def _finalists(df: DataFrame) -> DataFrame:
+    """The first row of each candidate id."""
+    rows = df.filter(F.col("candidate_uxid").isNotNull())
+    return top_per_group(
+        rows.select("candidate_uxid", *ID_COLUMNS[1:], "batch_record_id"), ["candidate_uxid"], election_order()
+    )
+
+
+def _take_elected(df: DataFrame, components: DataFrame, finalists: DataFrame, strict: bool) -> DataFrame:
     order = election_order()
-    finalists = top_per_group(
-        df.filter(F.col("candidate_uxid").isNotNull()).select(
-            "candidate_uxid", *ID_COLUMNS[1:], "batch_record_id"
-        ),
-        ["candidate_uxid"],
-        order,
-    ).join(components.withColumnRenamed("id", "candidate_uxid"), "candidate_uxid")
+    finalists = finalists.join(components.withColumnRenamed("id", "candidate_uxid"), "candidate_uxid")
     winners = top_per_group(finalists, ["component"], order).select(
         "component",
         F.col("candidate_uxid").alias("elected_uxid"),
@@ -201,9 +208,15 @@ def assign_email_only(
 
 def guest_id_rule(df: DataFrame, context: RunContext, email: str = "ml_email_address") -> DataFrame:
     """Mint by guest id, fall back to the e-mail, join ids by guest id, elect."""
-    minted = mint_ids(df, context.stamp)
-    filled = fill_from_email(minted, email)
-    return elect_component_id(filled, guest_components(filled))
+    filled = fill_from_email(mint_ids(df, context.stamp), email)
+    # Graph and election read only these columns, several times; the wide rows are
+    # read once, for the result.
+    votes = cut_lineage(
+        filled.filter(F.col("candidate_uxid").isNotNull()).select(
+            "candidate_uxid", "rules_guest_id", *ID_COLUMNS[1:], "batch_record_id"
+        )
+    )
+    return _take_elected(filled, guest_components(votes), _finalists(votes), strict=True)
 
 
 def oldest_email_rule(df: DataFrame, context: RunContext, email: str = "ml_email_address") -> DataFrame:
