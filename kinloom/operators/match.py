@@ -85,8 +85,10 @@ def route_exact(matched: DataFrame) -> dict[str, DataFrame]:
 
     ``touch``: known and unchanged, only stamps move.  ``insert``: new key with
     an adopted id.  ``bypass``: both of them, no further matching.  ``match``:
-    goes on to similarity and entity matching.  ``reject``: superseded.
+    goes on to similarity and entity matching.  ``reject``: superseded.  The input
+    is materialised, as every route reads it.
     """
+    matched = cut_lineage(matched)
     live = matched.filter(F.col("delete_flag") == "N")
     adopted = F.when(F.col("processing_scenario").isin(1, 3), F.col("known_uxid")).otherwise(F.col("uxid"))
     bypass = live.filter(F.col("processing_scenario").isin(1, 3)).withColumn("uxid", adopted)

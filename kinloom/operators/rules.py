@@ -242,11 +242,15 @@ class Rule:
 
 
 def run_rules(df: DataFrame, rules: Iterable[Rule], phase: str, context: RunContext) -> DataFrame:
-    """Apply a phase's rules in number order."""
+    """Apply a phase's rules in number order.
+
+    A rule reads its input more than once, so lineage is cut between rules;
+    otherwise the work of the first one would be repeated by each later one.
+    """
     if phase not in PHASES:
         raise ValueError(f"unknown phase {phase!r}; expected one of {PHASES}")
-    for rule in sorted((r for r in rules if r.phase == phase), key=lambda r: r.number):
-        df = df.transform(rule.apply, context)
+    for i, rule in enumerate(sorted((r for r in rules if r.phase == phase), key=lambda r: r.number)):
+        df = (cut_lineage(df) if i else df).transform(rule.apply, context)
     return df
 
 

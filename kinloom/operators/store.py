@@ -204,14 +204,33 @@ def clean_duplicate_emails(
     its whole value.
     """
     held = store.select(record, modified, F.explode(text_items(email)).alias("_email")).distinct()
-    shared = held.groupBy("_email").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_email")
-    rows = held.join(shared, "_email")
-    keepers = top_per_group(rows, ["_email"], [F.col(modified).desc_nulls_last(), F.col(record).asc()])
-    losers = rows.select(record).distinct().join(keepers.select(record).distinct(), record, "left_anti")
-    flagged = store.join(losers.withColumn("_hit", F.lit(True)), record, "left")
+    # Two rows per e-mail tell both the keeper and whether anyone shares it.
+    order = [F.col(modified).desc_nulls_last(), F.col(record).asc()]
+    first_two = top_per_group(held, ["_email"], order, k=2)
+    shared = (
+        first_two.groupBy("_email")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(F.struct(record, modified))).alias("_two"))
+        .filter("_n > 1")
+        .select("_email", _later("_two", record, modified).alias("_keeper"))
+    )
+    losers = (
+        held.join(shared, "_email")
+        .groupBy(record)
+        .agg(F.max(F.col(record) == F.col("_keeper")).alias("_keeps"))
+        .filter(~F.col("_keeps"))
+        .select(record, F.lit(True).alias("_hit"))
+    )
+    flagged = store.join(losers, record, "left")
     return _finish(_set_path(flagged, email, F.col("_hit"), F.lit(None)), F.col("_hit"), "_hit")
 
 
+def _later(two: str, record: str, modified: str) -> Column:
+    """Of two (record, modified) rows in record order: the later one, the first on a tie."""
+    first, second = F.get(two, F.lit(0)), F.get(two, F.lit(1))
+    newer = second[modified].isNotNull() & (first[modified].isNull() | (second[modified] > first[modified]))
+    return F.when(newer, second[record]).otherwise(first[record])
+
+
 # ---- renames -------------------------------------------------------------
 
 
