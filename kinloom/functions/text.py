@@ -36,12 +36,14 @@ def lookup_key(c: Column | str) -> Column:
 # ---- whole-frame forms ---------------------------------------------------
 
 
-def trim_upper(df: DataFrame) -> DataFrame:
-    return df.select([F.upper(F.trim(F.col(c))).alias(c) for c in df.columns])
+def trim_upper(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Trim and upper-case every column; ``keys`` are trimmed only, so that they
+    still join with tables cleaned another way."""
+    return df.select([(F.trim(c) if c in keys else F.upper(F.trim(c))).alias(c) for c in df.columns])
 
 
-def trim_lower(df: DataFrame) -> DataFrame:
-    return df.select([F.lower(F.trim(F.col(c))).alias(c) for c in df.columns])
+def trim_lower(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return df.select([(F.trim(c) if c in keys else F.lower(F.trim(c))).alias(c) for c in df.columns])
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..functions import dates
 from ..operators.dedupe import dedupe_latest
 from ..operators.project import map_to_common, pass_through, prefix_columns, require
 from ..schema import COMMON_COLUMNS
-from ..sources import readers, sinks
+from ..sources import readers, sinks, vendors  # noqa: F401  (vendors registers the sources)
 from ..sources.specs import SOURCES, SourceSpec, TableSpec
 
 

@@ -410,6 +410,7 @@ LOEWS = SOURCES.add(
                 name="uo_loews_reservation_name",
                 reader="tsv",
                 keep=["RESV_NAME_ID", "NAME_ID", "INSERT_DATE", "UPDATE_DATE"],
+                transform=lambda df: df.withColumn("NAME_ID", F.trim("NAME_ID")),
                 dedupe_on="UPDATE_DATE",
                 dedupe_formats=STAY_TIME,
             ),
@@ -417,7 +418,7 @@ LOEWS = SOURCES.add(
                 name="uo_loews_name",
                 reader="tsv",
                 keep=["BIRTH_DATE", "FIRST", "MIDDLE", "LAST", "TITLE", "NAME_ID", "UPDATE_DATE"],
-                transform=text.trim_upper,
+                transform=lambda df: text.trim_upper(df, ["NAME_ID"]),
                 date_columns=["BIRTH_DATE"],
                 dedupe_on="UPDATE_DATE",
                 dedupe_formats=STAY_TIME,
@@ -437,14 +438,14 @@ LOEWS = SOURCES.add(
                     "UPDATE_DATE",
                     "PRIMARY_YN",
                 ],
-                transform=text.trim_upper,
+                transform=lambda df: text.trim_upper(df, ["NAME_ID"]),
                 after_dedupe=_main_address,
             ),
             TableSpec(
                 name="uo_loews_name_phone",
                 reader="tsv",
                 keep=["PHONE_NUMBER", "NAME_ID", "UPDATE_DATE", "PRIMARY_YN", "END_DATE", "PHONE_ROLE", "PHONE_TYPE"],
-                transform=text.trim_lower,
+                transform=lambda df: text.trim_lower(df, ["NAME_ID"]),
                 after_dedupe=_contact_points,
             ),
         ],
