@@ -113,20 +113,19 @@ def _shared_words(size: Column, threshold: float) -> Column:
 
 
 def _token_sets(texts: DataFrame) -> DataFrame:
-    """(side, text, tokens): distinct words per text, rarest first.
+    """(side, head, tokens): distinct words per text, rarest first.
 
     Rarity is counted over both sides with map-side combining.  Only the words of
     one person's text are ever gathered in one row.
     """
-    words = texts.select(
-        "side", "text", F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""))).alias("w")
-    )
+    listed = F.array_distinct(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""))
+    words = texts.select("side", "head", F.explode(listed).alias("w"))
     frequency = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     return (
         words.join(frequency, "w")
-        .groupBy("side", "text")
+        .groupBy("side", "head")
         .agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ranked"))
-        .select("side", "text", F.col("ranked.w").alias("tokens"))
+        .select("side", "head", F.col("ranked.w").alias("tokens"))
     )
 
 
@@ -152,8 +151,8 @@ def _signatures(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
 
 def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     keyed = _signatures(sets, threshold, pairs)
-    left = keyed.filter("side = 'batch'").select("signature", F.col("text").alias("text"), F.col("tokens").alias("x"))
-    right = keyed.filter("side = 'store'").select("signature", F.col("text").alias("other"), F.col("tokens").alias("y"))
+    left = keyed.filter("side = 'batch'").select("signature", "head", F.col("tokens").alias("x"))
+    right = keyed.filter("side = 'store'").select("signature", F.col("head").alias("other"), F.col("tokens").alias("y"))
     big, small = F.greatest(F.size("x"), F.size("y")), F.least(F.size("x"), F.size("y"))
     joined = left.join(right, "signature").filter(small >= big * F.lit(threshold) - F.lit(_EPS))
     if not pairs:
@@ -164,7 +163,7 @@ def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     union = F.size("x") + F.size("y") - F.size("_both")
     return shared.filter(
         (lead == F.col("signature")) & (F.size("_both") >= union * F.lit(threshold) - F.lit(_EPS))
-    ).select("text", "other", F.round(F.size("_both") / union, 6).alias("score"))
+    ).select("head", "other", F.round(F.size("_both") / union, 6).alias("score"))
 
 
 def similar_topk(
@@ -182,22 +181,23 @@ def similar_topk(
     the threshold is found: texts that must share two words meet under pairs of
     words, the few so short that one word may do meet under single words.
     """
-    heads = [
-        df.filter(F.trim(text) != "").groupBy(F.col(text).alias("text")).agg(F.min(record).alias(name))
-        for df, name in ((batch, "head"), (store, "other_head"))
+    sides = [
+        df.filter(F.trim(text) != "")
+        .groupBy(F.col(text).alias("text"))
+        .agg(F.min(record).alias("head"))
+        .select(F.lit(side).alias("side"), "head", "text")
+        for df, side in ((batch, "batch"), (store, "store"))
     ]
-    sides = heads[0].select(F.lit("batch").alias("side"), "text").union(heads[1].select(F.lit("store"), "text"))
     # Tokenised once; both kinds of signatures read it on both sides.
-    sets = cut_lineage(_token_sets(sides))
+    sets = cut_lineage(_token_sets(sides[0].union(sides[1])))
     lone = _shared_words(F.size("tokens"), threshold) < 2
     # A partner of a one-word text has at most 1 / t times its words.
     small = F.size("tokens") * F.lit(threshold * threshold) <= F.lit(1 + _EPS)
     found = _similar_pairs(sets.filter(~lone), threshold, pairs=True).unionByName(
         _similar_pairs(sets.filter(small), threshold, pairs=False)
     )
-    named = found.join(heads[0], "text").join(heads[1].withColumnRenamed("text", "other"), "other")
-    ranked = top_per_group(named, ["head"], [F.col("score").desc(), F.col("other_head")], k)
-    return ranked.select(F.col("head").alias(record), F.col("other_head").alias("similar_record_id"), "score")
+    ranked = top_per_group(found, ["head"], [F.col("score").desc(), F.col("other")], k)
+    return ranked.select(F.col("head").alias(record), F.col("other").alias("similar_record_id"), "score")
 
 
 def extended_lookup(batch: DataFrame, store: DataFrame, record: str = "batch_record_id") -> DataFrame:
@@ -281,7 +281,7 @@ def _rule_keys(number: int, rule: MatchRule) -> Column:
         forms = F.transform(_deletions(F.col("name")), lambda f: F.concat_ws("\u0001", stem, f))
     else:
         forms = F.array(stem)
-    entries = F.transform(forms, lambda k: F.struct(F.lit(rule.confidence).alias("confidence"), F.md5(k).alias("key")))
+    entries = F.transform(forms, lambda k: F.struct(F.lit(rule.confidence).alias("confidence"), F.unhex(F.md5(k)).alias("key")))
     return F.when(present, entries)
 
 
@@ -298,7 +298,8 @@ def match_entities(
     parts = evidence(df)
     names = list(parts)
     rows = df.withColumns({f"_e_{n}": c for n, c in parts.items()})
-    digest = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), f"_e_{n}"), F.lit("")) for n in names]))
+    shown = [F.coalesce(F.concat(F.lit("="), f"_e_{n}"), F.lit("")) for n in names]
+    digest = F.unhex(F.md5(F.concat_ws("\u0001", *shown)))
     rows = rows.withColumn("_profile", digest)
     profiles = rows.groupBy("_profile", *[F.col(f"_e_{n}").alias(n) for n in names]).agg(
         F.min(record).alias("head"), F.count(F.lit(1)).alias("copies")
