@@ -141,29 +141,40 @@ def _signatures(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     need = _shared_words(F.size("tokens"), threshold)
     prefix = F.slice("tokens", F.lit(1), F.size("tokens") - need + (2 if pairs else 1))
     if not pairs:
-        return sets.select("*", F.explode(prefix).alias("signature"))
+        return sets.select("*", F.posexplode(prefix).alias("_i", "signature")).withColumn("at", F.col("_i") + 1)
     first = sets.select("*", prefix.alias("_p")).select("*", F.posexplode("_p").alias("_i", "_a"))
     rest = F.slice("_p", F.col("_i") + 2, F.size("_p"))
-    return first.select("*", F.explode(rest).alias("_b")).select(
-        *sets.columns, F.concat_ws("\u0001", "_a", "_b").alias("signature")
+    return first.select("*", F.posexplode(rest).alias("_j", "_b")).select(
+        *sets.columns,
+        F.concat_ws("\u0001", "_a", "_b").alias("signature"),
+        (F.col("_i") + F.col("_j") + 2).alias("at"),
     )
 
 
 def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
-    keyed = _signatures(sets, threshold, pairs)
-    left = keyed.filter("side = 'batch'").select("signature", "head", F.col("tokens").alias("x"))
-    right = keyed.filter("side = 'store'").select("signature", F.col("head").alias("other"), F.col("tokens").alias("y"))
-    big, small = F.greatest(F.size("x"), F.size("y")), F.least(F.size("x"), F.size("y"))
-    joined = left.join(right, "signature").filter(small >= big * F.lit(threshold) - F.lit(_EPS))
+    keyed = _signatures(sets, threshold, pairs).withColumn("n", F.size("tokens"))
+    left = keyed.filter("side = 'batch'").select(
+        "signature", "head", F.col("tokens").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax")
+    )
+    right = keyed.filter("side = 'store'").select(
+        "signature", F.col("head").alias("other"), F.col("tokens").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay")
+    )
+    # A pair meets under several signatures and counts under the first one only;
+    # then all other shared words stand behind the signature in both texts, which
+    # rules most meetings out by arithmetic alone.
+    joined = left.join(right, "signature")
+    possible = (2 if pairs else 1) + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    wanted = (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)
+    joined = joined.filter(possible >= wanted)
     if not pairs:
-        joined = joined.filter(_shared_words(small, threshold) < 2)
+        joined = joined.filter(_shared_words(F.least("nx", "ny"), threshold) < 2)
     shared = joined.withColumn("_both", F.array_intersect("x", "y"))
-    # A pair meets under several signatures; it counts under the first one only.
     lead = F.concat_ws("\u0001", F.slice("_both", 1, 2)) if pairs else F.get("_both", F.lit(0))
-    union = F.size("x") + F.size("y") - F.size("_both")
-    return shared.filter(
-        (lead == F.col("signature")) & (F.size("_both") >= union * F.lit(threshold) - F.lit(_EPS))
-    ).select("head", "other", F.round(F.size("_both") / union, 6).alias("score"))
+    common = F.size("_both")
+    union = F.col("nx") + F.col("ny") - common
+    return shared.filter((lead == F.col("signature")) & (common >= union * F.lit(threshold) - F.lit(_EPS))).select(
+        "head", "other", F.round(common / union, 6).alias("score")
+    )
 
 
 def similar_topk(
