@@ -169,7 +169,7 @@ entities AS (SELECT mbest.r, match_id, confidence FROM mbest JOIN mlabel ON mbes
     "er01_entities",
     ident=True,
     sql=f"""WITH {entity_ctes('ident')}
-SELECT batch_record_id, match_id AS "MatchID", confidence AS "ConfidenceLevel" FROM ident LEFT JOIN entities ON batch_record_id = r""",
+SELECT batch_record_id, match_id AS "MatchID", confidence::double AS "ConfidenceLevel" FROM ident LEFT JOIN entities ON batch_record_id = r""",
 )
 def entities(source: Source):
     return match.match_entities(source.ident()).select("batch_record_id", "MatchID", "ConfidenceLevel")
@@ -179,7 +179,7 @@ def entities(source: Source):
     "er02_skipped_rows",
     ident=True,
     sql=f"""WITH live AS (SELECT * FROM ident WHERE source_name <> 'SRC_POS'), {entity_ctes('live')}
-SELECT batch_record_id, source_name = 'SRC_POS' AS skip_ml, match_id AS "MatchID", confidence AS "ConfidenceLevel"
+SELECT batch_record_id, source_name = 'SRC_POS' AS skip_ml, match_id AS "MatchID", confidence::double AS "ConfidenceLevel"
 FROM ident LEFT JOIN entities ON batch_record_id = r""",
 )
 def skipped_rows(source: Source):

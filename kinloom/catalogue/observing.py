@@ -20,7 +20,7 @@ NUMBER_SQL = "cast(json_extract_string(props, '$.k') AS bigint)"
 FIELDS_SQL = f"""SELECT event_id, ts, CASE WHEN event_type <> 'signup' THEN {JOB_SQL} END AS job_id,
   CASE WHEN event_type <> 'signup' THEN CASE WHEN user_id % 2 = 0 THEN 'exact' ELSE 'similar' END END AS job_type,
   CASE WHEN event_type IN ('error', 'click') THEN {NUMBER_SQL} END AS retry_count,
-  CASE WHEN event_type = 'purchase' THEN {NUMBER_SQL} + 0.5 END AS retry_delay,
+  CASE WHEN event_type = 'purchase' THEN ({NUMBER_SQL} + 0.5)::double END AS retry_delay,
   CASE WHEN event_type IN ('view', 'click') THEN {NUMBER_SQL} END AS done,
   CASE WHEN event_type IN ('view', 'click') THEN 100 END::bigint AS total FROM events"""
 

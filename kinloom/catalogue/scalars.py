@@ -242,7 +242,7 @@ def scrub_birth_date(source: Source):
 
 @query(
     "dt09_time_parts",
-    sql="""SELECT event_id, year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour, minute(ts) AS minute FROM events""",
+    sql="""SELECT event_id, year(ts)::int AS year, month(ts)::int AS month, day(ts)::int AS day, hour(ts)::int AS hour, minute(ts)::int AS minute FROM events""",
 )
 def time_parts(source: Source):
     return source.table("events").select("event_id", *[c.alias(n) for n, c in dates.time_parts("ts").items()])

@@ -88,7 +88,7 @@ def pass_through(source: Source):
 @query(
     "pr07_state_columns",
     ident=True,
-    sql="""SELECT batch_record_id, 'N' AS delete_flag, cast(NULL AS varchar) AS uxid, 1.0 AS uxid_confidence,
+    sql="""SELECT batch_record_id, 'N' AS delete_flag, cast(NULL AS varchar) AS uxid, 1.0::double AS uxid_confidence,
   cast(NULL AS varchar) AS id_res_last_updated_timestamp, 0 AS processing_scenario,
   'b1' AS updated_by_incremental_batch_id, 'incremental' AS updated_by_incremental_batch_description FROM batch""",
 )
@@ -561,7 +561,7 @@ def order_files(source: Source):
 
 
 def next_batch_sql(where: str) -> str:
-    return f"""SELECT file_name, source, row_count, running_rows::bigint AS running_rows, item FROM (
+    return f"""SELECT file_name, source, row_count, running_rows::bigint AS running_rows, item::int AS item FROM (
   SELECT *, sum(row_count) OVER (ORDER BY file_name) AS running_rows, row_number() OVER (ORDER BY file_name) AS item
   FROM ({FILES_SQL}) {where}) WHERE item <= 150 AND (item = 1 OR running_rows <= 50000)"""
 
