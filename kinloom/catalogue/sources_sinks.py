@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import instant
-from ..operators import project, rules
+from ..operators import rules
 from ..session import new_folder
 from ..sources import readers, sinks
 from .registry import AS_OF, Source, query
-from .resolution import CONTEXT, EMAIL_ONLY_LOG_SQL, STAMP
+from .resolution import CONTEXT, EMAIL_ONLY_LOG_SQL
 from .tables import SCENARIO_SQL, with_scenarios
 
 # ---- readers -------------------------------------------------------------

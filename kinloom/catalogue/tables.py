@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, nested, text
 from ..operators import aggregates, batches, dedupe, joins, project, rules
-from ..operators.groups import election_order, top_per_group
+from ..operators.groups import attach, top_per_group
 from .registry import AS_OF, Source, query
 from .resolution import ORDER
 
@@ -326,7 +326,6 @@ ON i.rules_guest_id = m.rules_guest_id""",
 )
 def attach_keyed(source: Source):
     from ..functions.keys import stable_id
-    from ..operators.groups import attach
 
     rows = source.ident().select("batch_record_id", "rules_guest_id")
     minted = aggregates.distinct_keys(rows, "rules_guest_id", "rules_guest_id").withColumn(

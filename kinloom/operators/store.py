@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import document_key, stable_id
 from ..functions.nested import blank_count, push_history, text_items
 from ..functions.text import column, replace_prefix
-from ..schema import KEY_COLUMNS
+from ..schema import HISTORY_TYPE, KEY_COLUMNS
 from .groups import attach, top_per_group
 
 
@@ -174,8 +174,6 @@ def regenerate_ids(store: DataFrame, doc_ids: DataFrame, job_id: str, stamp: Col
     fresh = stable_id(F.concat_ws("|", F.lit(job_id), F.col("_doc")), "regen")
     confidence = F.coalesce(F.col("uxid_confidence"), F.lit(1.0))
     history = F.col("past_uxids") if "past_uxids" in store.columns else F.lit(None)
-    from ..schema import HISTORY_TYPE
-
     new = {
         "past_uxids": F.when(
             hit, push_history(history.cast(HISTORY_TYPE), "uxid", confidence, stamp, fresh)

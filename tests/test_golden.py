@@ -276,7 +276,12 @@ def test_star_join_keys_and_clashes(spark):
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="missing columns: b"):
         project.require(spark.range(1).toDF("a"), ["a", "b"])
-    assert project.updated_or_created is not None
+
+
+def test_updated_falls_back_to_created(spark):
+    df = spark.createDataFrame([("t1", ""), ("t1", None), ("t1", "t2")], "c string, u string")
+    got = sorted(r[0] for r in df.select(project.updated_or_created("u", "c")).collect())
+    assert got == ["t1", "t1", "t2"]
 
 
 IDENT = (
