@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACES = " \t\n\x0b\x0c\r"
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -32,15 +35,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with state made once per task by ``make``."""
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found it.
+
+    On a cluster the package is installed or sent along as usual; the path is for
+    sessions on one machine that were started from another folder.
+    """
+    env = df.sparkSession.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if _ROOT not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (known, _ROOT)))
+    return df.mapInArrow(run, schema)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
+    """``map_arrow`` batch by batch, with state made once per task by ``make``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def crc_mod(key: Column, divisor: int) -> Column:

@@ -34,6 +34,7 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 PLANE = 4  # longs that hold one bit of each of the 200 minima
 HUB_FLOOR, FLOOR = 0.4, 0.6  # smallest estimates worth confirming, against a hub and otherwise
+MAP = 16  # longs of the bitmap of what a set has beyond its hub
 _CHUNK = 1024  # shingles hashed at a time: the work area stays in the cache
 _LETTERS = 4096  # multipliers by position in a word; longer words use them again
 
@@ -109,6 +110,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """One bit per shingle, by hash, in ``MAP`` longs."""
+    bits = np.zeros(MAP * 64, np.uint8)
+    bits[shingles % np.uint64(MAP * 64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, sig, bands); the last three are null for an empty set."""
 
@@ -163,27 +171,33 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with the size of their intersection and whether it makes a link."""
+    """Pairs (a, b) with the size of their intersection, a bitmap of what a has beyond b, and whether they link."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            common, linked = [], []
+            common, extra, linked = [], [], []
             for left, right in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
                 x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = np.concatenate((x, y))
-                both.sort()
-                n = int(np.count_nonzero(both[1:] == both[:-1]))
+                shared = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                n = int(np.count_nonzero(shared))
                 common.append(n)
+                extra.append(bitmap(x[~shared]))
                 linked.append(100 * n >= percent * (len(x) + len(y) - n))
-            arrays = [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_())]
-            return pa.RecordBatch.from_arrays(arrays, ["a", "b", "common", "linked"])
+            arrays = [
+                batch.column("a"),
+                batch.column("b"),
+                pa.array(common, pa.int64()),
+                pa.array(extra, pa.list_(pa.int64())),
+                pa.array(linked, pa.bool_()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, ["a", "b", "common", "extra", "linked"])
 
         return step
 
     left = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("sb"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return map_batches(full, make, "a binary, b binary, common long, linked boolean")
+    return map_batches(full, make, "a binary, b binary, common long, extra array<long>, linked boolean")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -198,8 +212,10 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(sketches(docs, width), "minhash-rows")
     named = rows.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    single = named.join(classes, ["set_key", "doc_id"], "left_semi").dropDuplicates(["set_key"])
+    # One row per distinct set; copies are reduced before the shuffle.
+    best = F.struct("doc_id", "n_shingles", "sig", "bands")
+    single = written(named.groupBy("set_key").agg(F.min(best).alias("best")).select("set_key", "best.*"), "minhash-sets")
+    classes = single.select("set_key", "doc_id")
 
     banded = single.select("set_key", F.posexplode("bands").alias("band", "bucket"))
     counts = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -215,7 +231,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
 
     met = fame.select("set_key").join(single.select("set_key", "doc_id", "sig", "bands", "n_shingles"), "set_key")
     met = written(met, "minhash-met")
-    sets = written(_shingles_of(docs, met, width), "minhash-sets")
+    sets = written(_shingles_of(docs, met, width), "minhash-shingles")
 
     sig = met.select("set_key", "sig")
     spokes = (
@@ -241,6 +257,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     labels = classes.join(labels, "set_key", "left").select(
         "set_key", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    labels = written(labels, "minhash-labels")
     # An empty set is hashed by its document, so that blank texts do not meet in one task.
     key = F.coalesce(F.col("set_key"), F.col("doc_id").cast("string").cast("binary"))
     result = rows.select("doc_id", "n_shingles", key.alias("set_key")).join(labels, "set_key", "left")
@@ -260,27 +277,35 @@ def _components(links: DataFrame) -> DataFrame:
 def _across(with_hub: DataFrame, met: DataFrame, spokes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that may still be similar.
 
-    Within a bucket, |x & y| <= min(hx, hy) + min(nx - hx, ny - hy), h being what a
-    set shares with the common hub.  A pair is taken from its first common band.
+    Of two sets in a bucket, |x & y| <= min(hx, hy) + |ex & ey|: h is what a set shares
+    with the common hub, e what it has beyond it.  |ex & ey| is bounded by the common
+    bits of their bitmaps plus the shingles of either set that share a bit.  Variants of
+    one text edited in different places are told apart by this without being paired.
+    A pair is taken from its first common band.
     """
     labelled = (
         with_hub.join(_components(links).withColumnRenamed("component", "label"), "set_key", "left")
         .withColumn("label", F.coalesce("label", "set_key"))
     )
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 != l1")
-    shares = spokes.select(F.col("a").alias("set_key"), F.col("b").alias("hub"), F.col("common").alias("shared"))
+    shares = spokes.select(F.col("a").alias("set_key"), F.col("b").alias("hub"), F.col("common").alias("shared"), "extra")
     side = (
         labelled.filter("set_key != hub")  # hubs have met all others already
         .join(mixed.select("bucket"), "bucket", "left_semi")
         .join(shares, ["set_key", "hub"], "left")
         .join(met.select("set_key", "sig", "bands", F.col("n_shingles").alias("n")), "set_key")
     )
-    side = written(side.select("bucket", "band", "set_key", "label", "shared", "n", "sig", "bands"), "minhash-sides")
+    alone = F.col("n") - F.col("shared") - sum(F.bit_count(F.col("extra")[i]) for i in range(MAP))  # without a bit of their own
+    side = side.select("bucket", "band", "set_key", "label", "shared", "n", "extra", alone.alias("alone"), "sig", "bands")
+    side = written(side, "minhash-sides")
     x = side.select("bucket", *[F.col(c).alias(f"x_{c}") for c in side.columns if c != "bucket"])
     y = side.select("bucket", *[F.col(c).alias(f"y_{c}") for c in side.columns if c != "bucket"])
     total = F.col("x_n") + F.col("y_n")
-    most = F.least("x_shared", "y_shared") + F.least(F.col("x_n") - F.col("x_shared"), F.col("y_n") - F.col("y_shared"))
-    most = F.coalesce(most, F.least("x_n", "y_n"))
+    bits = sum(F.bit_count(F.col("x_extra")[i].bitwiseAND(F.col("y_extra")[i])) for i in range(MAP))
+    beyond = F.least(
+        F.col("x_n") - F.col("x_shared"), F.col("y_n") - F.col("y_shared"), bits + F.least("x_alone", "y_alone")
+    )
+    most = F.coalesce(F.least("x_shared", "y_shared") + beyond, F.least("x_n", "y_n"))
     first = F.array_position(F.zip_with("x_bands", "y_bands", lambda p, q: p == q), True) - 1
     near = (
         (F.col("x_set_key") < F.col("y_set_key"))
