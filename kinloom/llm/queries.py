@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
-from .common import table
+from . import bpe, decontaminate, langid, lines, minhash
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +27,59 @@ def query(name: str, sql: str | None = None):
 @query("op9_minhash_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+LINE_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+rep AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key
+  HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.r, k.doc_id, k.line, k.pos, rep.key IS NOT NULL AND k.doc_id <> rep.keeper AS lost
+  FROM k LEFT JOIN rep ON k.key = rep.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM m GROUP BY r"""
+
+
+@query("op6_line_dedup", LINE_SQL)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_digests(table(spark, folder, "documents"))
+
+
+LEAK_SQL = r"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ik AS (SELECT item_id, w, least(len(w), 10) AS k FROM iw WHERE len(w) > 0),
+iat AS (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM ik),
+pat AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS p FROM iat),
+ks AS (SELECT DISTINCT k FROM pat),
+dat AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, ks WHERE len(w) >= k),
+found AS (SELECT DISTINCT r, i, dat.k, item_id FROM dat JOIN pat ON pat.k = dat.k
+  AND pat.p = array_to_string(list_slice(w, i, i + dat.k - 1), ' ')),
+hit AS (SELECT r, count(DISTINCT word_at) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS word_at FROM found) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM
+  (SELECT DISTINCT r, cast(item_id AS varchar) AS s FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)"""
+
+
+@query("op2_decontaminate", LEAK_SQL)
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination_digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_bpe_round_trip")
+def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.token_digests(table(spark, folder, "documents"))
+
+
+@query("op8_language")
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
