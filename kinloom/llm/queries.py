@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash
+from . import bpe, decontaminate, langid, lines, minhash, quality
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,13 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = langid.identify(docs, langid.fit(docs))
     return found.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_quality")
+def document_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
