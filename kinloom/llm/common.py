@@ -35,8 +35,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` whose workers find this package where the driver found it.
+def with_package(df: DataFrame) -> DataFrame:
+    """``df`` in a session whose Python workers find this package where the driver found it.
 
     On a cluster the package is installed or sent along as usual; the path is for
     sessions on one machine that were started from another folder.
@@ -45,7 +45,11 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     known = env.get("PYTHONPATH", "")
     if _ROOT not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (known, _ROOT)))
-    return df.mapInArrow(run, schema)
+    return df
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    return with_package(df).mapInArrow(run, schema)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash, quality
+from . import bpe, decontaminate, langid, lines, minhash, quality, topk
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,18 @@ def document_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+TOP_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x AS double)) AS bigint)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id,
+  cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * d.v[i])) AS bigint) AS score
+  FROM e q, e d WHERE q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@query("op3_maxscore_top_k", TOP_SQL)
+def top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
