@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash, quality, topk
+from . import bpe, decontaminate, langid, lines, minhash, quality, topk, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,20 @@ SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM r WHERE rank <= 1
 @query("op3_maxscore_top_k", TOP_SQL)
 def top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS keeper FROM p GROUP BY h),
+d AS (SELECT p.page_id, p.h, keeper, sha1(p.h) AS x FROM p JOIN g ON p.h = g.h)
+SELECT page_id, cast(strlen(h) AS bigint) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + cast((cast('0x' || substr(x, cast(5 * (i // 4) + 1 AS int), 5) AS bigint)
+      >> cast(15 - 5 * (i % 4) AS bigint)) & 31 AS int), 1)), '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM d"""
+
+
+@query("op4_warc_round_trip", WARC_SQL)
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
