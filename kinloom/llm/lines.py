@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, ascii_lower
 
 # Own columns carry this prefix, so that columns of the caller cannot clash.
-_ID, _TX, _RUNS = "__line_id", "__line_text", "__line_runs"
+_ID, _TX, _RUNS, _LOST = "__line_id", "__line_text", "__line_runs", "__line_lost"
 
 
 def split_lines(text: Column) -> Column:
@@ -44,7 +44,7 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def dropped_runs(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(id, tx, positions): the dropped line positions of each document that loses any."""
+    """(id, tx, lost): the dropped line positions of each document that loses any."""
     found = long_lines(docs, min_chars).repartitionByRange("h1", "h2", _ID)
     found = found.sortWithinPartitions("h1", "h2", F.col(_ID).desc(), "pos")
     per_document = found.groupBy("h1", "h2", _ID).agg(F.min("pos").alias("pos"))
@@ -55,7 +55,7 @@ def dropped_runs(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
         .select("h1", "h2", "keeper")
     )
     lost = found.join(repeated, ["h1", "h2"]).filter(~F.col(_ID).eqNullSafe(F.col("keeper")))
-    return lost.groupBy(_ID, _TX).agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    return lost.groupBy(_ID, _TX).agg(F.sort_array(F.collect_set("pos")).alias(_LOST))
 
 
 def _runs(positions: Column, n_lines: Column) -> Column:
@@ -73,7 +73,7 @@ def with_keep_runs(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> D
     lost = lost.withColumnRenamed(_ID, "__lost_id").withColumnRenamed(_TX, "__lost_text")
     on = (F.col(_TX) == F.col("__lost_text")) & F.col(_ID).eqNullSafe(F.col("__lost_id"))
     joined = rows.join(lost, on, "left")
-    runs = F.when(F.col("positions").isNotNull(), _runs(F.col("positions"), F.size(split_lines(F.col("text")))))
+    runs = F.when(F.col(_LOST).isNotNull(), _runs(F.col(_LOST), F.size(split_lines(F.col("text")))))
     return joined.select(*[docs[c] for c in docs.columns], runs.alias(_RUNS))
 
 

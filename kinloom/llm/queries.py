@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash, quality, topk, warc
+from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, topk, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,14 @@ SELECT page_id, cast(strlen(h) AS bigint) AS payload_bytes,
 @query("op4_warc_round_trip", WARC_SQL)
 def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query("op5_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op1_tool_call_links")
+def tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chat.link(chat.with_tool_calls(table(spark, folder, "conversations")), chat.SCHEMAS)
+    return rows.withColumns({"errors": F.array_join("errors", "; "), "json": F.sha2(F.col("json").cast("binary"), 256)})
