@@ -74,6 +74,11 @@ class Node:
         self.dropped = dropped
 
 
+def _names(value: str) -> set[str]:
+    """The words of a class or id: sideBar is sidebar, side and bar."""
+    return {*re.findall("[a-z]+", value.lower()), *map(str.lower, _CLASS_WORD.findall(value))}
+
+
 def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in DROPPED or tag == "header" and not inside_article:
         return True
@@ -87,7 +92,7 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and any(w.lower() in WORDS for w in _CLASS_WORD.findall(value)):
+        if name in ("class", "id") and not WORDS.isdisjoint(_names(value)):
             return True
     return False
 
