@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -52,7 +53,12 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "20g", "spark.driver.host": "127.0.0.1"},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.driver.memory": "20g",
+            "spark.driver.host": "127.0.0.1",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="kinloom-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["ag01_count_by_source"](spark, folder).collect()  # start-up is not a query

@@ -31,30 +31,46 @@ d_batch AS (SELECT *, {DIGEST_SQL} AS digest,
   row_number() OVER (PARTITION BY source_name, source_customer_id
     ORDER BY record_last_updated_timestamp DESC NULLS LAST, batch_record_id DESC) AS newness FROM batch),
 d_store AS (SELECT *, {DIGEST_SQL} AS digest FROM store),
-twins AS (SELECT digest, uxid FROM (
-  SELECT digest, uxid, row_number() OVER (PARTITION BY digest
+twins AS (SELECT digest, uxid, uxid_confidence, id_res_last_updated_timestamp FROM (
+  SELECT digest, uxid, uxid_confidence, id_res_last_updated_timestamp, row_number() OVER (PARTITION BY digest
     ORDER BY record_last_updated_timestamp, source_name, source_customer_id) AS rn
   FROM d_store WHERE digest IS NOT NULL AND uxid IS NOT NULL) WHERE rn = 1),
 matched AS (
   SELECT b.*,
     CASE WHEN s.source_name IS NOT NULL AND b.digest IS NOT DISTINCT FROM s.digest THEN 1
          WHEN s.source_name IS NOT NULL THEN 2 WHEN t.digest IS NOT NULL THEN 3 ELSE 4 END AS processing_scenario,
-    CASE WHEN b.newness > 1 OR coalesce(b.record_last_updated_timestamp < s.record_last_updated_timestamp, false)
+    CASE WHEN (b.newness > 1 AND b.source_name IS NOT NULL AND b.source_customer_id IS NOT NULL) OR coalesce(b.record_last_updated_timestamp < s.record_last_updated_timestamp, false)
          THEN 'Y' ELSE 'N' END AS delete_flag,
-    coalesce(s.uxid, t.uxid) AS known_uxid
+    CASE WHEN s.source_name IS NOT NULL THEN s.uxid ELSE t.uxid END AS known_uxid,
+    CASE WHEN s.source_name IS NOT NULL THEN s.uxid_confidence ELSE t.uxid_confidence END AS known_confidence,
+    CASE WHEN s.source_name IS NOT NULL THEN s.id_res_last_updated_timestamp ELSE t.id_res_last_updated_timestamp END AS known_time
   FROM d_batch b
   LEFT JOIN d_store s ON b.source_name = s.source_name AND b.source_customer_id = s.source_customer_id
   LEFT JOIN twins t ON s.source_name IS NULL AND b.digest = t.digest)
 """
 
 
+# The batch with incomplete keys: such rows repeat nothing and are known to no store.
+PART_KEYED_CTES = """part_keyed AS (SELECT * REPLACE (
+  CASE WHEN batch_record_id % 10 = 7 THEN NULL ELSE source_customer_id END AS source_customer_id,
+  CASE WHEN batch_record_id % 10 = 3 THEN NULL ELSE source_name END AS source_name) FROM batch),"""
+PART_EXACT_CTES = PART_KEYED_CTES + EXACT_CTES.replace("FROM batch)", "FROM part_keyed)")
+
+
+def part_keyed(batch):
+    last = F.col("batch_record_id") % 10
+    return batch.withColumns(
+        {"source_customer_id": F.when(last != 7, F.col("source_customer_id")), "source_name": F.when(last != 3, F.col("source_name"))}
+    )
+
+
 @query(
     "ex01_exact_match",
     ident=True,
-    sql=f"WITH {EXACT_CTES} SELECT batch_record_id, processing_scenario, delete_flag, known_uxid FROM matched",
+    sql=f"WITH {PART_EXACT_CTES} SELECT batch_record_id, processing_scenario, delete_flag, known_uxid FROM matched",
 )
 def exact_match(source: Source):
-    return match.exact_match(source.batch(), source.store()).select(
+    return match.exact_match(part_keyed(source.batch()), source.store()).select(
         "batch_record_id", "processing_scenario", "delete_flag", "known_uxid"
     )
 
@@ -62,14 +78,14 @@ def exact_match(source: Source):
 @query(
     "ex02_routes",
     ident=True,
-    sql=f"""WITH {EXACT_CTES}
+    sql=f"""WITH {PART_EXACT_CTES}
 SELECT route, batch_record_id, uxid FROM (
   SELECT 'reject' AS route, batch_record_id, uxid FROM matched WHERE delete_flag = 'Y'
   UNION ALL SELECT CASE processing_scenario WHEN 1 THEN 'touch' WHEN 3 THEN 'insert' ELSE 'match' END, batch_record_id,
     CASE WHEN processing_scenario IN (1, 3) THEN known_uxid ELSE uxid END FROM matched WHERE delete_flag = 'N')""",
 )
 def routes(source: Source):
-    routed = match.route_exact(match.exact_match(source.batch(), source.store()))
+    routed = match.route_exact(match.exact_match(part_keyed(source.batch()), source.store()))
     parts = [
         routed[name].select(F.lit(name).alias("route"), "batch_record_id", "uxid")
         for name in ("touch", "insert", "match", "reject")
@@ -87,15 +103,16 @@ def texts(source: Source):
 
 
 SIMILAR_CTES = f"""
-bt AS (SELECT text, min(batch_record_id) AS head FROM (SELECT batch_record_id, {SIMILARITY_SQL} AS text FROM batch) WHERE trim(text) <> '' GROUP BY text),
-st AS (SELECT text, min(batch_record_id) AS head FROM (SELECT batch_record_id, {SIMILARITY_SQL} AS text FROM store) WHERE trim(text) <> '' GROUP BY text),
-bw AS (SELECT head, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM bt),
-sw AS (SELECT head, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM st),
-scored AS (SELECT bw.head AS batch_record_id, sw.head AS similar_record_id, len(list_intersect(bw.w, sw.w)) AS n, len(bw.w) + len(sw.w) AS t
-  FROM bw, sw WHERE len(bw.w) <= 2 * len(sw.w) AND len(sw.w) <= 2 * len(bw.w)),
-ranked AS (SELECT batch_record_id, similar_record_id, round(n / (t - n), 6) AS score,
-  row_number() OVER (PARTITION BY batch_record_id ORDER BY round(n / (t - n), 6) DESC, similar_record_id) AS rn
-  FROM scored WHERE 2 * n >= t - n)
+bt AS (SELECT batch_record_id AS r, {SIMILARITY_SQL} AS text FROM batch WHERE trim({SIMILARITY_SQL}) <> ''),
+st AS (SELECT batch_record_id AS r, {SIMILARITY_SQL} AS text FROM store WHERE trim({SIMILARITY_SQL}) <> ''),
+bw AS (SELECT text, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM (SELECT DISTINCT text FROM bt)),
+sw AS (SELECT text, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS w FROM (SELECT DISTINCT text FROM st)),
+scored AS (SELECT bw.text AS b, sw.text AS s, len(list_intersect(bw.w, sw.w)) AS n, len(bw.w) + len(sw.w) AS t
+  FROM bw, sw WHERE 3 * len(bw.w) <= 10 * len(sw.w) AND 3 * len(sw.w) <= 10 * len(bw.w)),
+best_texts AS (SELECT b, s, round(n / (t - n), 6) AS score FROM scored WHERE 10 * n >= 3 * (t - n)),
+ranked AS (SELECT bt.r AS batch_record_id, st.r AS similar_record_id, score,
+  row_number() OVER (PARTITION BY bt.r ORDER BY score DESC, st.r) AS rn
+  FROM best_texts JOIN bt ON bt.text = b JOIN st ON st.text = s)
 """
 
 
@@ -123,9 +140,19 @@ EXTENDED_SQL = """SELECT * FROM store WHERE
   OR uxid IN (SELECT uxid FROM batch WHERE uxid IS NOT NULL)"""
 
 
-@query("sm03_extended_lookup", ident=True, sql=f"SELECT batch_record_id, uxid, ml_email_address FROM ({EXTENDED_SQL})")
+SIMILAR_IDS_SQL = """
+  OR uxid IN (SELECT uxid FROM store WHERE uxid IS NOT NULL AND batch_record_id IN (SELECT similar_record_id FROM ranked WHERE rn <= 5))"""
+
+
+@query(
+    "sm03_extended_lookup",
+    ident=True,
+    sql=f"WITH {SIMILAR_CTES} SELECT batch_record_id, uxid, ml_email_address FROM ({EXTENDED_SQL} {SIMILAR_IDS_SQL})",
+)
 def extended_lookup(source: Source):
-    return match.extended_lookup(source.batch(), source.store()).select("batch_record_id", "uxid", "ml_email_address")
+    similar = match.similar_topk(with_text(source.batch()), with_text(source.store()))
+    found = match.extended_lookup(source.batch(), source.store(), similar=similar)
+    return found.select("batch_record_id", "uxid", "ml_email_address")
 
 
 def _key_sql(number: int, rule: match.MatchRule) -> str:
@@ -205,13 +232,12 @@ CLEAN = "* REPLACE (" + ", ".join(
     f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END AS {c}" for c in FEATURES
 ) + ")"
 
-# Candidates: stored rows with a similar text or a shared e-mail, guest id or id.
+# Candidates: similar stored rows, rows with their ids, and rows sharing an e-mail, guest id or id.
 CANDIDATE_CTES = (
-    SIMILAR_CTES.replace("FROM batch)", "FROM to_match)")
+    SIMILAR_CTES.replace("FROM batch WHERE", "FROM to_match WHERE")
     + f""",
-by_text AS (SELECT batch_record_id AS r FROM store WHERE {SIMILARITY_SQL} IN (
-  SELECT text FROM st WHERE head IN (SELECT similar_record_id FROM ranked WHERE rn <= 5))),
-pool AS (SELECT * FROM ({EXTENDED_SQL.replace("FROM batch", "FROM to_match")}) UNION SELECT * FROM store WHERE batch_record_id IN (SELECT r FROM by_text))
+pool AS (SELECT * FROM ({EXTENDED_SQL.replace("FROM batch", "FROM to_match")} {SIMILAR_IDS_SQL})
+  UNION SELECT * FROM store WHERE batch_record_id IN (SELECT similar_record_id FROM ranked WHERE rn <= 5))
 """
 )
 
@@ -219,11 +245,12 @@ RESOLVE_CTES = f"""
 raw_batch AS (SELECT * FROM batch),
 clean_batch AS (SELECT {CLEAN} FROM raw_batch),
 {EXACT_CTES.replace("FROM batch)", "FROM clean_batch)")},
-to_match AS (SELECT * EXCLUDE (digest, newness, processing_scenario, delete_flag, known_uxid)
-    REPLACE (CASE WHEN processing_scenario = 2 THEN coalesce(uxid, known_uxid) ELSE uxid END AS uxid)
+to_match AS (SELECT * EXCLUDE (digest, newness, processing_scenario, delete_flag, known_uxid, known_confidence, known_time)
+    REPLACE (CASE WHEN processing_scenario = 2 THEN coalesce(uxid, known_uxid) ELSE uxid END AS uxid),
+    CASE WHEN processing_scenario = 2 THEN known_uxid END AS old_id
   FROM matched WHERE delete_flag = 'N' AND processing_scenario IN (2, 4)),
 {CANDIDATE_CTES},
-together AS (SELECT *, true AS own FROM to_match UNION ALL SELECT *, false FROM pool),
+together AS (SELECT *, true AS own FROM to_match UNION ALL SELECT *, uxid, false FROM pool),
 {entity_ctes('together')},
 with_match AS (SELECT t.*, match_id, confidence FROM together t LEFT JOIN entities ON batch_record_id = r),
 group_ids AS (SELECT match_id AS g, uxid AS g_uxid FROM (
@@ -239,14 +266,17 @@ email_keyed AS (SELECT *, nullif(lower(trim(ml_email_address)), '') AS ek FROM g
 email_best AS (SELECT ek AS w_key, uxid AS w_id, uxid_confidence AS w_conf, id_res_last_updated_timestamp AS w_ts FROM (
     SELECT *, row_number() OVER (PARTITION BY ek ORDER BY {ORDER}) AS rn FROM email_keyed WHERE ek IS NOT NULL AND uxid IS NOT NULL) WHERE rn = 1),
 email_ruled AS (SELECT k.* REPLACE (coalesce(w_id, uxid) AS uxid,
-    CASE WHEN w_key IS NULL THEN uxid_confidence ELSE w_conf END AS uxid_confidence)
+    CASE WHEN w_key IS NULL THEN uxid_confidence ELSE w_conf END AS uxid_confidence,
+    CASE WHEN w_key IS NULL THEN id_res_last_updated_timestamp ELSE w_ts END AS id_res_last_updated_timestamp)
   FROM email_keyed k LEFT JOIN email_best ON ek = w_key),
-settled AS (SELECT batch_record_id, CASE WHEN uxid IS NULL AND concat(coalesce(ml_first_name, ''), coalesce(ml_middle_name, ''),
+lone AS (SELECT *, uxid IS NULL AND concat(coalesce(ml_first_name, ''), coalesce(ml_middle_name, ''),
     coalesce(ml_last_name, ''), coalesce(ml_address_line_1, ''), coalesce(ml_address_line_2, ''), coalesce(ml_birth_date, ''),
-    coalesce(ml_phone, ''), coalesce(rules_guest_id, '')) = '' AND ml_email_address IS NOT NULL
-    THEN md5(concat('new|', trim(ml_email_address))) ELSE uxid END AS uxid, uxid_confidence FROM email_ruled WHERE own),
-export AS (SELECT batch_record_id, uxid, uxid_confidence FROM settled
-  UNION ALL SELECT batch_record_id, known_uxid, uxid_confidence FROM matched WHERE delete_flag = 'N' AND processing_scenario IN (1, 3))
+    coalesce(ml_phone, ''), coalesce(rules_guest_id, '')) = '' AND ml_email_address IS NOT NULL AS only_email FROM email_ruled),
+settled AS (SELECT batch_record_id, source_name, source_customer_id, own, old_id, uxid_confidence, record_last_updated_timestamp,
+    CASE WHEN only_email THEN md5(concat('new|', trim(ml_email_address))) ELSE uxid END AS uxid,
+    CASE WHEN only_email THEN '{STAMP}' ELSE id_res_last_updated_timestamp END AS id_res_last_updated_timestamp FROM lone),
+export AS (SELECT batch_record_id, uxid, uxid_confidence FROM settled WHERE own
+  UNION ALL SELECT batch_record_id, known_uxid, known_confidence FROM matched WHERE delete_flag = 'N' AND processing_scenario IN (1, 3))
 """
 
 
@@ -263,15 +293,45 @@ def resolve_batch(source: Source):
     "id08_store_after_batch",
     ident=True,
     sql=f"""WITH {RESOLVE_CTES},
-written AS (SELECT b.source_name, b.source_customer_id, e.batch_record_id, e.uxid FROM export e JOIN raw_batch b USING (batch_record_id) WHERE e.uxid IS NOT NULL)
-SELECT coalesce(w.source_name, s.source_name) AS source_name, coalesce(w.source_customer_id, s.source_customer_id) AS source_customer_id,
-  coalesce(w.batch_record_id, s.batch_record_id) AS batch_record_id, coalesce(w.uxid, s.uxid) AS uxid,
-  CASE WHEN w.batch_record_id IS NOT NULL THEN '{CONTEXT.job_id}' END AS updated_by_incremental_batch_id
-FROM store s FULL JOIN written w ON s.source_name = w.source_name AND s.source_customer_id = w.source_customer_id""",
+written AS (SELECT source_name, source_customer_id, batch_record_id, uxid, uxid_confidence, id_res_last_updated_timestamp,
+    record_last_updated_timestamp, 'incremental_full_pipeline' AS how, CASE WHEN old_id <> uxid THEN old_id END AS past
+  FROM settled WHERE own AND uxid IS NOT NULL
+  UNION ALL SELECT source_name, source_customer_id, batch_record_id, known_uxid, known_confidence, known_time,
+    record_last_updated_timestamp, 'incremental_exact_s3', NULL FROM matched WHERE delete_flag = 'N' AND processing_scenario = 3),
+touched AS (SELECT source_name, source_customer_id, record_last_updated_timestamp AS seen FROM matched
+  WHERE delete_flag = 'N' AND processing_scenario = 1),
+moved AS (SELECT source_name, source_customer_id, uxid AS m_id, uxid_confidence AS m_conf, id_res_last_updated_timestamp AS m_time,
+    CASE WHEN old_id <> uxid THEN old_id END AS m_past FROM settled WHERE NOT own AND uxid IS NOT NULL),
+kept AS (SELECT s.source_name, s.source_customer_id, s.batch_record_id,
+    CASE WHEN m_id IS NULL THEN s.uxid ELSE m_id END AS uxid,
+    CASE WHEN m_id IS NULL THEN s.uxid_confidence ELSE m_conf END AS uxid_confidence,
+    CASE WHEN m_id IS NULL THEN s.id_res_last_updated_timestamp ELSE m_time END AS id_res_last_updated_timestamp,
+    CASE WHEN t.source_name IS NULL THEN s.record_last_updated_timestamp ELSE t.seen END AS record_last_updated_timestamp,
+    CASE WHEN m_id IS NOT NULL THEN 'incremental_full_pipeline' WHEN t.source_name IS NOT NULL THEN 'incremental_exact_s1' END AS how,
+    m_past AS past
+  FROM store s LEFT JOIN moved m ON s.source_name = m.source_name AND s.source_customer_id = m.source_customer_id
+  LEFT JOIN touched t ON s.source_name = t.source_name AND s.source_customer_id = t.source_customer_id
+  WHERE NOT EXISTS (SELECT 1 FROM written w WHERE w.source_name = s.source_name AND w.source_customer_id = s.source_customer_id))
+SELECT source_name, source_customer_id, batch_record_id, uxid, uxid_confidence, id_res_last_updated_timestamp,
+  record_last_updated_timestamp, CASE WHEN how IS NOT NULL THEN '{CONTEXT.job_id}' END AS updated_by_incremental_batch_id,
+  how AS updated_by_incremental_batch_description, past AS past_uxid, CASE WHEN past IS NULL THEN 0 ELSE 1 END AS n_past
+FROM (SELECT * FROM written UNION ALL SELECT * FROM kept)""",
 )
 def store_after_batch(source: Source):
+    """Every row of the store after the batch: id, confidence, time, stamps and history."""
+    past = F.coalesce("past_uxids", F.array().cast("array<struct<uxid:string,uxid_confidence:double,uxid_last_changed_timestamp:string>>"))
     return resolution_of(source).store.select(
-        "source_name", "source_customer_id", "batch_record_id", "uxid", "updated_by_incremental_batch_id"
+        "source_name",
+        "source_customer_id",
+        "batch_record_id",
+        "uxid",
+        "uxid_confidence",
+        "id_res_last_updated_timestamp",
+        "record_last_updated_timestamp",
+        "updated_by_incremental_batch_id",
+        "updated_by_incremental_batch_description",
+        F.get(past, F.lit(0))["uxid"].alias("past_uxid"),
+        F.size(past).alias("n_past"),
     )
 
 

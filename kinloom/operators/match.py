@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import person_digest
 from ..functions.text import lookup_key
-from ..schema import KEY_COLUMNS, PERSON_COLUMNS
+from ..schema import HISTORY_TYPE, KEY_COLUMNS, PERSON_COLUMNS
 from ..session import cut_lineage
 from .graph import connected_components
 from .groups import attach, top_per_group
@@ -28,6 +28,15 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in [*PERSON_COLUMNS, "rules_guest_id"] if c in df.columns]
 
 
+def record_key(names: Sequence[str] = tuple(KEY_COLUMNS)) -> Column:
+    """The key columns as one value; null when one of them is null."""
+    parts = [F.col(n).cast("string") for n in names]
+    return F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)])
+
+
+KNOWN_COLUMNS = ["known_uxid", "known_confidence", "known_time", "known_past"]
+
+
 def exact_match(
     batch: DataFrame,
     store: DataFrame,
@@ -39,45 +48,66 @@ def exact_match(
     1 = key known, same person data; 2 = key known, data differs; 3 = key new,
     a stored row has the same data (its id is adopted, the oldest row's when
     there are several); 4 = neither.  Rows superseded by a newer row of the same
-    key, in the batch or in the store, are flagged for deletion.
+    key, in the batch or in the store, are flagged for deletion.  A row without a
+    full key repeats no other row and is known to no store: it is never flagged,
+    and the join hashes it by its record id.
+
+    The store is reduced to the batch's keys and digests before anything is sorted,
+    and everything known of a key stands in one right side, so one join meets a hot key.
     """
     features = [c for c in feature_columns(batch) if c in store.columns]
-    rows = batch.withColumn("_digest", person_digest(features))
+    rows = batch.withColumns({"_digest": person_digest(features), "_key": record_key()})
     newest = top_per_group(
-        rows.select(*KEY_COLUMNS, updated, record), KEY_COLUMNS, [F.col(updated).desc_nulls_last(), F.col(record).desc()]
-    ).select(*KEY_COLUMNS, F.col(record).alias("_newest"))
-    known = store.select(
+        rows.filter(F.col("_key").isNotNull()).select("_key", updated, record),
+        ["_key"],
+        [F.col(updated).desc_nulls_last(), F.col(record).desc()],
+    ).select("_key", F.col(record).alias("_newest"))
+    past = F.col("past_uxids") if "past_uxids" in store.columns else F.lit(None)
+    stored = store.select(
         *KEY_COLUMNS,
-        person_digest(features).alias("_stored_digest"),
-        F.col(updated).alias("_stored_time"),
-        F.col("uxid").alias("_stored_uxid"),
+        record_key().alias("_key"),
+        person_digest(features).alias("_twin"),
+        F.col(updated).alias("_time"),
+        F.struct(
+            F.col("uxid").alias("known_uxid"),
+            F.col("uxid_confidence").cast("double").alias("known_confidence"),
+            F.col("id_res_last_updated_timestamp").alias("known_time"),
+            past.cast(HISTORY_TYPE).alias("known_past"),
+        ).alias("_id"),
+    )
+    known = stored.join(newest.select("_key"), "_key", "left_semi").select(
+        "_key",
+        F.col("_twin").alias("_stored_digest"),
+        F.col("_time").alias("_stored_time"),
+        F.col("_id").alias("_stored_id"),
         F.lit(True).alias("_known"),
     )
+    wanted = rows.select(F.col("_digest").alias("_twin")).filter(F.col("_twin").isNotNull()).distinct()
     twins = top_per_group(
-        store.select(*KEY_COLUMNS, updated, person_digest(features).alias("_twin"), F.col("uxid").alias("_twin_uxid"))
-        .filter(F.col("_twin").isNotNull() & F.col("_twin_uxid").isNotNull()),
+        stored.filter(F.col("_id.known_uxid").isNotNull()).join(wanted, "_twin", "left_semi"),
         ["_twin"],
-        [F.col(updated).asc_nulls_last(), *map(F.col, KEY_COLUMNS)],
-    ).select("_twin", "_twin_uxid")
+        [F.col("_time").asc_nulls_last(), *map(F.col, KEY_COLUMNS)],
+    ).select("_twin", F.col("_id").alias("_twin_id"))
 
-    joined = rows.join(newest, KEY_COLUMNS, "left").join(known, KEY_COLUMNS, "left")
+    joined = attach(rows, newest.join(known, "_key", "left"), "_key", record)
     # Only rows with a new key look for a twin.
     joined = joined.withColumn("_twin", F.when(F.col("_known").isNull(), F.col("_digest")))
     joined = attach(joined, twins, "_twin", record)
     same = F.col("_digest").eqNullSafe(F.col("_stored_digest"))
     scenario = (
-        F.when(F.col("_known") & same, 1).when(F.col("_known"), 2).when(F.col("_twin_uxid").isNotNull(), 3).otherwise(4)
+        F.when(F.col("_known") & same, 1).when(F.col("_known"), 2).when(F.col("_twin_id").isNotNull(), 3).otherwise(4)
     )
-    stale = ~F.col(record).eqNullSafe(F.col("_newest")) | F.coalesce(
+    stale = (F.col("_key").isNotNull() & ~F.col(record).eqNullSafe(F.col("_newest"))) | F.coalesce(
         F.col(updated) < F.col("_stored_time"), F.lit(False)
     )
+    found = F.coalesce(F.col("_stored_id"), F.col("_twin_id"))
     return joined.withColumns(
         {
             "processing_scenario": scenario,
             "delete_flag": F.when(stale, "Y").otherwise("N"),
-            "known_uxid": F.coalesce("_stored_uxid", "_twin_uxid"),
+            **{c: found[c] for c in KNOWN_COLUMNS},
         }
-    ).drop("_digest", "_newest", "_stored_digest", "_stored_time", "_stored_uxid", "_known", "_twin", "_twin_uxid")
+    ).drop("_digest", "_key", "_newest", "_stored_digest", "_stored_time", "_stored_id", "_known", "_twin", "_twin_id")
 
 
 def route_exact(matched: DataFrame) -> dict[str, DataFrame]:
@@ -85,13 +115,19 @@ def route_exact(matched: DataFrame) -> dict[str, DataFrame]:
 
     ``touch``: known and unchanged, only stamps move.  ``insert``: new key with
     an adopted id.  ``bypass``: both of them, no further matching.  ``match``:
-    goes on to similarity and entity matching.  ``reject``: superseded.  The input
-    is materialised, as every route reads it.
+    goes on to similarity and entity matching.  ``reject``: superseded.  A bypassed
+    row takes the known id with its confidence and time.  The input is materialised,
+    as every route reads it.
     """
     matched = cut_lineage(matched)
     live = matched.filter(F.col("delete_flag") == "N")
-    adopted = F.when(F.col("processing_scenario").isin(1, 3), F.col("known_uxid")).otherwise(F.col("uxid"))
-    bypass = live.filter(F.col("processing_scenario").isin(1, 3)).withColumn("uxid", adopted)
+    bypass = live.filter(F.col("processing_scenario").isin(1, 3)).withColumns(
+        {
+            "uxid": F.col("known_uxid"),
+            "uxid_confidence": F.col("known_confidence"),
+            "id_res_last_updated_timestamp": F.col("known_time"),
+        }
+    )
     return {
         "touch": bypass.filter(F.col("processing_scenario") == 1),
         "insert": bypass.filter(F.col("processing_scenario") == 3),
@@ -183,22 +219,22 @@ def similar_topk(
     text: str = "all_sim",
     record: str = "batch_record_id",
     k: int = 5,
-    threshold: float = 0.5,
+    threshold: float = 0.3,
 ) -> DataFrame:
-    """The ``k`` most similar stored texts of each batch text, by exact Jaccard.
+    """The ``k`` most similar stored records of each batch record, by exact Jaccard.
 
-    Records with equal texts are one text, named by its smallest record id, so a
-    heavily copied text costs as much as a single one.  Every pair at or above
-    the threshold is found: texts that must share two words meet under pairs of
-    words, the few so short that one word may do meet under single words.
+    Every batch record with a text is answered, and every stored record counts by
+    itself, ties by the smaller record id.  In between, records with equal texts are one
+    text, so a heavily copied text is compared once.  Every pair at or above the
+    threshold is found: texts that must share two words meet under pairs of words, the
+    few so short that one word may do meet under single words.
     """
-    sides = [
-        df.filter(F.trim(text) != "")
-        .groupBy(F.col(text).alias("text"))
-        .agg(F.min(record).alias("head"))
-        .select(F.lit(side).alias("side"), "head", "text")
-        for df, side in ((batch, "batch"), (store, "store"))
+    named = [
+        df.filter(F.trim(text) != "").select(F.col(text).alias("text"), F.col(record).alias("record"))
+        for df in (batch, store)
     ]
+    heads = [n.groupBy("text").agg(F.min("record").alias("head")) for n in named]
+    sides = [h.select(F.lit(side).alias("side"), "head", "text") for h, side in zip(heads, ("batch", "store"), strict=True)]
     # Tokenised once; both kinds of signatures read it on both sides.
     sets = cut_lineage(_token_sets(sides[0].union(sides[1])))
     lone = _shared_words(F.size("tokens"), threshold) < 2
@@ -207,19 +243,37 @@ def similar_topk(
     found = _similar_pairs(sets.filter(~lone), threshold, pairs=True).unionByName(
         _similar_pairs(sets.filter(small), threshold, pairs=False)
     )
-    ranked = top_per_group(found, ["head"], [F.col("score").desc(), F.col("other")], k)
-    return ranked.select(F.col("head").alias(record), F.col("other").alias("similar_record_id"), "score")
-
-
-def extended_lookup(batch: DataFrame, store: DataFrame, record: str = "batch_record_id") -> DataFrame:
-    """Stored rows that share the e-mail, guest id or id of any batch row."""
-    email = lookup_key("ml_email_address")
-    keys = {"email": email, "guest": F.col("rules_guest_id"), "uxid": F.col("uxid")}
-    hits = None
-    for c in keys.values():
-        wanted = batch.select(c.alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-        found = store.select(record, c.alias("_k")).join(wanted, "_k", "left_semi").select(record)
-        hits = found if hits is None else hits.union(found)
+    # The k best records lie among the k best texts, and among the k smallest records of each.
+    texts = top_per_group(found, ["head"], [F.col("score").desc(), F.col("other")], k)
+    others = heads[1].withColumnRenamed("head", "other").join(named[1], "text")
+    others = top_per_group(others, ["other"], [F.col("record")], k).select("other", F.col("record").alias("similar_record_id"))
+    best = top_per_group(
+        texts.join(others, "other"), ["head"], [F.col("score").desc(), F.col("similar_record_id")], k
+    )
+    asking = named[0].join(heads[0], "text").select("head", F.col("record").alias(record))
+    return asking.join(best, "head").select(record, "similar_record_id", "score")
+
+
+def extended_lookup(
+    batch: DataFrame, store: DataFrame, record: str = "batch_record_id", similar: DataFrame | None = None
+) -> DataFrame:
+    """Stored rows that share the e-mail, guest id or id of any batch row, or the id of a
+    stored row that ``similar`` (a frame with ``similar_record_id``) names.
+
+    One pass over the store: its keys are exploded and meet the wanted keys once.
+    """
+
+    def keyed(df: DataFrame) -> DataFrame:
+        keys = {"email": lookup_key("ml_email_address"), "guest": F.col("rules_guest_id"), "uxid": F.col("uxid")}
+        pairs = [F.struct(F.lit(n).alias("kind"), c.alias("value")) for n, c in keys.items()]
+        return df.select(record, F.explode(F.array(*pairs)).alias("_k")).filter("_k.value IS NOT NULL")
+
+    wanted = keyed(batch).select("_k")
+    if similar is not None:
+        near = store.join(similar.select(F.col("similar_record_id").alias(record)).distinct(), record, "left_semi")
+        near = near.filter("uxid IS NOT NULL").select(F.struct(F.lit("uxid").alias("kind"), F.col("uxid").alias("value")).alias("_k"))
+        wanted = wanted.union(near)
+    hits = keyed(store).join(wanted.distinct(), "_k", "left_semi").select(record)
     return store.join(hits.distinct(), record, "left_semi")
 
 

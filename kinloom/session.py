@@ -21,6 +21,10 @@ def build_session(app_name: str = "kinloom", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split hot partitions also where a second join would reuse their layout.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # A checkpoint goes once nothing refers to it any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,12 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.driver.host": "127.0.0.1"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.driver.host": "127.0.0.1",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="kinloom-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -62,16 +62,12 @@ def test_similar_texts_equal_brute_force(spark, threshold):
         threshold=threshold,
     )
 
-    def heads(rows):
-        out = {}
-        for i, t in rows:
-            if t.strip():
-                out[t] = min(i, out.get(t, i))
-        return [(i, set(t.split())) for t, i in out.items()]
+    def records(rows):
+        return [(i, set(t.split())) for i, t in rows if t.strip()]
 
     expected = set()
-    for i, x in heads(batch):
-        scored = [(-round(len(x & y) / len(x | y), 6), j) for j, y in heads(stored) if len(x & y) / len(x | y) >= threshold - 1e-9]
+    for i, x in records(batch):
+        scored = [(-round(len(x & y) / len(x | y), 6), j) for j, y in records(stored) if len(x & y) / len(x | y) >= threshold - 1e-9]
         expected |= {(i, j, -s) for s, j in sorted(scored)[:4]}
     assert {tuple(r) for r in got.collect()} == expected
 
@@ -175,5 +171,25 @@ def test_export_keeps_unresolved_rows(spark, events):
     ident = identity.ident(events)
     result = resolve_batch(identity.batch(ident), identity.store(ident), CONTEXT)
     missing = result.export.filter("uxid IS NULL").count()
-    written = result.store.filter("updated_by_incremental_batch_id = 'job'").count()
+    # Stored candidates carry the stamp as well; of the batch's keys all but those without id do.
+    stamped = result.store.filter("updated_by_incremental_batch_id = 'job'")
+    written = stamped.join(result.export, ["source_name", "source_customer_id"], "left_semi").count()
     assert written == result.export.count() - missing
+
+
+def test_a_batch_leaves_one_id_per_email_in_the_store(spark, sf_dir):
+    ident = identity.ident(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    result = resolve_batch(identity.batch(ident), identity.store(ident), CONTEXT)
+    email = F.lower(F.trim("ml_email_address")).alias("email")
+    met = result.export.filter("processing_scenario IN (2, 4) AND uxid IS NOT NULL").select(email).distinct()
+    adopted = result.export.filter("processing_scenario = 3").select("source_name", "source_customer_id")
+    rows = result.store.join(adopted, ["source_name", "source_customer_id"], "left_anti")
+    spans = rows.filter("uxid IS NOT NULL").select(email, "uxid").join(met, "email").groupBy("email").agg(F.countDistinct("uxid").alias("n"))
+    assert spans.count() > 0 and spans.filter("n > 1").count() == 0
+
+
+def test_rows_without_full_key_are_never_superseded(spark, sf_dir):
+    ident = identity.ident(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    batch = identity.batch(ident).withColumn("source_customer_id", F.lit(None).cast("string"))
+    result = resolve_batch(batch, identity.store(ident), CONTEXT)
+    assert result.rejects.count() == 0 and result.export.count() == batch.count()
