@@ -93,13 +93,20 @@ def source_of_file(source: Source):
 @query(
     "src06_batch_id",
     sql="""SELECT o_orderstatus, CASE WHEN count(DISTINCT strftime(o_orderdate, '%Y%m%d')) = 1 THEN min(strftime(o_orderdate, '%Y%m%d000000'))
-  ELSE '20240201000000' END AS batch_id FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderstatus""",
+  ELSE '20240201000000' END AS batch_id FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'one', min(strftime(o_orderdate, '%Y%m%d000000')) FROM orders""",
 )
 def batch_id(source: Source):
-    files = source.table("orders").filter(F.col("o_orderstatus") == "F").select(
-        F.concat(F.lit("in/"), F.date_format("o_orderdate", "yyyyMMdd000000"), F.lit("_x.csv")).alias("file")
+    """Per status, whose files carry many times, and for the files of the first day, which carry one."""
+    orders = source.table("orders").select(
+        "o_orderstatus", F.concat(F.lit("in/"), F.date_format("o_orderdate", "yyyyMMdd000000"), F.lit("_x.csv")).alias("file")
     )
-    return readers.batch_id(files, "file", AS_OF).select(F.lit("F").alias("o_orderstatus"), "batch_id")
+    first = orders.join(orders.agg(F.min("file").alias("file")), "file", "left_semi")
+    parts = [
+        readers.batch_id(files, "file", AS_OF).select(F.lit(name).alias("o_orderstatus"), "batch_id")
+        for name, files in [*((s, orders.filter(F.col("o_orderstatus") == s)) for s in ("F", "O", "P")), ("one", first)]
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 @query(

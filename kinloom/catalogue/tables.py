@@ -275,11 +275,11 @@ def star_left(source: Source):
     sql="""SELECT CASE WHEN c_custkey = previous THEN o.o_custkey ELSE c_custkey END AS k, c_name, n_parts, o_orderkey
 FROM (SELECT c_custkey, c_name FROM customer) c
 JOIN (SELECT l_suppkey AS key2, count(*) AS n_parts FROM lineitem GROUP BY l_suppkey) s ON c.c_custkey = s.key2
-LEFT JOIN (SELECT o_custkey, o_orderkey, o_custkey AS previous FROM orders) o ON c.c_custkey = o.o_custkey""",
+LEFT JOIN (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_orderkey END AS previous FROM orders) o ON c.c_custkey = o.o_custkey""",
 )
 def inner_then_left(source: Source):
     required = source.table("lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.count(F.lit(1)).alias("n_parts"))
-    optional = source.table("orders").select(F.col("o_custkey").alias("k"), "o_orderkey", F.col("o_custkey").alias("p"))
+    optional = source.table("orders").select(F.col("o_custkey").alias("k"), "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).otherwise(F.col("o_orderkey")).alias("p"))
     base = source.table("customer").select(F.col("c_custkey").alias("k"), "c_name")
     return joins.inner_then_left(base, required, optional, "k", "p")
 

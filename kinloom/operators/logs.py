@@ -144,8 +144,15 @@ def alarm_states(df: DataFrame, alarm: Alarm, value: str, key: str, ts: str = "t
     """
     stats = period_statistic(df, value, alarm.period, [key], alarm.statistic, ts=ts)
     spans = stats.groupBy(key).agg(F.min("period").alias("_lo"), F.max("period").alias("_hi"))
-    step = F.expr(f"INTERVAL {alarm.period}")
-    grid = spans.select(key, F.explode(F.sequence("_lo", "_hi", step)).alias("period"))
+    # Two steps, so that no row ever holds more than the periods of one day.
+    step, day = F.expr(f"INTERVAL {alarm.period}"), 86_400
+    seconds = F.expr(f"timestampdiff(SECOND, TIMESTAMP '2000-01-01', TIMESTAMP '2000-01-01' + INTERVAL {alarm.period})")
+    per_day = F.greatest(F.floor(F.lit(day) / seconds), F.lit(1)) * seconds
+    lo, hi = F.unix_timestamp(F.col("_lo").cast("timestamp")), F.unix_timestamp(F.col("_hi").cast("timestamp"))
+    chunks = spans.select(key, "_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((hi - lo) / per_day))).alias("_c"))
+    first = F.col("_lo") + F.make_dt_interval(secs=(F.col("_c") * per_day).cast("decimal(18,6)"))
+    last = F.least(F.col("_hi"), F.col("_lo") + F.make_dt_interval(secs=((F.col("_c") + 1) * per_day - seconds).cast("decimal(18,6)")))
+    grid = chunks.select(key, F.explode(F.sequence(first, last, step)).alias("period"))
     filled = grid.join(stats, [key, "period"], "left")
     breach = F.coalesce(alarm.breaches(F.col("value")), F.lit(alarm.missing_breaches))
     recent = Window.partitionBy(key).orderBy("period").rowsBetween(-(alarm.n - 1), 0)

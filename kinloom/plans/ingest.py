@@ -24,7 +24,9 @@ def read_table(
 ) -> DataFrame:
     """Scan one vendor table and keep the columns the source needs."""
     if spec.reader == "csv":
-        df = readers.read_csv_group(spark, readers.csv_only(paths), columns, spec.column_count, spec.lower_header)
+        df = readers.read_csv_group(
+            spark, readers.csv_only(paths), columns, spec.column_count, spec.lower_header, spec.multi_line
+        )
     elif spec.reader == "tsv":
         if not columns:
             raise ValueError(f"{spec.name} has no header; pass its column list")

@@ -16,7 +16,8 @@ class TableSpec:
 
     ``reader`` is ``csv``, ``tsv`` or ``fixed``.  ``layout`` holds (name, start,
     end) slices for fixed width.  Tab files carry no header, so their column
-    list is handed to the runner by table name.
+    list is handed to the runner by table name.  ``multi_line`` is for tables whose
+    values hold line breaks; their files are one task each, all others are split.
     """
 
     name: str
@@ -24,6 +25,7 @@ class TableSpec:
     reader: str = "csv"
     column_count: int | None = None
     lower_header: bool = False
+    multi_line: bool = False
     layout: Sequence[tuple[str, int, int]] = ()
     length: int = 0
     add_file_name: bool = False

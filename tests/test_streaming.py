@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from kinloom.catalogue import identity
 from kinloom.operators import logs, rules
-from kinloom.plans.incremental import resolving_handler, store_version
+from kinloom.operators.batches import READY
+from kinloom.plans.incremental import read_store, resolving_handler, run_incremental, update_store, write_store
 from kinloom.plans.resolve import resolve_batch
 from kinloom.streaming import loop, observe
 
@@ -42,17 +43,56 @@ def test_loop_resumes_after_a_failure(spark, ident, tmp_path):
 
 def test_incremental_resolution_versions_the_store(spark, ident, tmp_path):
     store_folder, exports, source = (str(tmp_path / n) for n in ("store", "export", "in"))
-    identity.store(ident).write.parquet(store_version(store_folder, 0))
+    write_store(identity.store(ident), store_folder)
     batch = identity.batch(ident)
     batch.coalesce(1).write.parquet(source)
     handler = resolving_handler(spark, store_folder, exports, CONTEXT)
     loop.run_available(loop.file_stream(spark, source, batch.schema), handler, str(tmp_path / "progress"))
     expected = resolve_batch(batch, identity.store(ident), CONTEXT)
-    got = spark.read.parquet(store_version(store_folder, 1))
+    got = read_store(spark, store_folder, 1)
     names = ["source_name", "source_customer_id", "uxid"]
     assert rows(got.select(names)) == rows(expected.store.select(names))
-    ready = spark.read.json(f"{exports}-ready").first()
-    assert ready["record_count"] == expected.export.count()
+    handler(batch, 0)  # a retry adds nothing
+    assert rows(read_store(spark, store_folder, 1).select(names)) == rows(expected.store.select(names))
+    ready = spark.read.json(f"{exports}-ready").collect()
+    assert [r["record_count"] for r in ready] == [expected.export.count()]
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, ident, tmp_path):
+    folder = tmp_path / "store"
+    store = identity.store(ident)
+    write_store(store, str(folder), buckets=16)
+    files = lambda: {p.relative_to(folder): p.stat().st_mtime_ns for p in folder.rglob("data/**/part-*")}
+    before = files()
+    one = store.limit(1).select("source_name", "source_customer_id", "batch_record_id")
+    new = store.join(one.withColumn("hit", F.lit(True)), ["source_name", "source_customer_id", "batch_record_id"], "left")
+    new = new.withColumn("uxid", F.when(F.col("hit"), "new").otherwise(F.col("uxid"))).drop("hit")
+    for _ in range(2):  # the retry writes the same
+        assert len(update_store(new, one, str(folder), 0, buckets=16)) == 1
+        assert rows(read_store(spark, str(folder), 1).select(*new.columns)) == rows(new)
+        assert {p: t for p, t in files().items() if p in before} == before
+        assert len({p.parent for p in files()} - {p.parent for p in before}) == 1
+    assert rows(read_store(spark, str(folder), 0).select(*store.columns)) == rows(store)
+
+
+def test_loop_over_a_manifest_marks_complete_and_failed(spark, ident, tmp_path):
+    batch = identity.batch(ident).withColumn("part", F.col("batch_record_id") % 4)
+    files = [(f"f{i}", READY, 10, None) for i in range(4)]
+    manifest = spark.createDataFrame(files, "file_name string, status string, row_count long, ttl long")
+    write, seen = loop.write_batches(str(tmp_path / "out")), []
+
+    def handle(df, number):
+        seen.append(number)
+        if df.filter("part = 2").count():
+            raise RuntimeError("bad file")
+        write(df.select("batch_record_id"), number)
+
+    read = lambda chosen: batch.filter(F.concat(F.lit("f"), F.col("part").cast("string")).isin(list(chosen)))
+    done = run_incremental(spark, manifest, read, handle, CONTEXT.as_of, max_items=1)
+    assert [r.status for r in done.orderBy("file_name").collect()] == ["complete", "complete", "failed", "complete"]
+    assert done.filter("ttl IS NULL").count() == 0 and seen == [0, 1, 2, 2]
+    out = spark.read.parquet(str(tmp_path / "out")).select("batch_record_id")
+    assert rows(out) == rows(batch.filter("part <> 2").select("batch_record_id"))
 
 
 def test_alarm_stream_over_many_files(spark, tmp_path):
