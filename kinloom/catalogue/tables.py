@@ -266,6 +266,7 @@ def star_left(source: Source):
             joins.Dimension(source.table("nation"), "c_nationkey", "n_nationkey"),
             joins.Dimension(source.table("region"), "n_regionkey", "r_regionkey"),
         ],
+        row_id="c_custkey",
     )
     return joined.select("c_custkey", "c_name", "n_name", "r_name")
 

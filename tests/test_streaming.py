@@ -121,3 +121,19 @@ def test_every_alarm_definition_runs(spark):
     for alarm in logs.ALARMS:
         states = logs.alarm_states(df, alarm, "v", "k")
         assert states.filter("state = 'ALARM'").count() > 0
+
+
+def test_late_periods_change_nothing_and_long_gaps_are_filled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(observe, "PIECE", 7)
+    alarm = logs.Alarm("a", "max", ">", 5, m=2, n=3, period="60 seconds", missing_breaches=False)
+    start = 1_700_000_040
+    folder = tmp_path / "p"
+    for i, minutes in enumerate([[(0, 9.0), (1, 9.0)], [(1, 0.0), (0, 0.0), (40, 9.0)], [(39, 9.0), (41, 9.0), (41, 9.0)]]):
+        part = spark.createDataFrame([("x", start + 60 * t, v) for t, v in minutes], "k string, s long, value double")
+        part = part.select(F.timestamp_seconds("s").alias("period"), "k", "value")
+        part.coalesce(1).write.parquet(str(folder / f"{i}"))
+    stream = loop.file_stream(spark, str(folder / "*"), part.schema, max_files=1)
+    loop.run_available(observe.alarm_stream(stream, alarm, "k"), loop.write_batches(str(tmp_path / "o")), str(tmp_path / "c"))
+    got = spark.read.parquet(str(tmp_path / "o")).select(((F.unix_timestamp("period") - start) / 60).cast("int"), "breaches", "state")
+    want = {0: 1, 1: 2, 2: 2, 3: 1, 40: 1, 41: 2}
+    assert rows(got) == sorted(((t, want.get(t, 0), "ALARM" if want.get(t, 0) >= 2 else "OK") for t in range(42)), key=str)
