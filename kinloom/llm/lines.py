@@ -1,8 +1,8 @@
 """Removal of lines repeated across documents, with built-in functions only.
 
-Hashes of long lines are range-partitioned by (hash, document) and sorted inside the
-partitions by document, largest first, and position, so a line that a third of all
-documents share spreads over as many partitions as it needs.  One pass over the
+Texts are read once to hash their long lines.  The hashes are range-partitioned by (hash,
+document) and sorted inside the partitions by document, largest first, and position, so a
+line that a third of all documents share spreads over as many partitions as it needs.  One pass over the
 sorted rows reduces each hash to its number of documents and the first document met;
 what that leaves per partition is merged by hash.  Occurrences outside the first
 document are dropped through an N:1 join, and a document's keep bitmap is returned
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower
+from .common import SPACES, ascii_lower, written
 
 # Own columns carry this prefix, so that columns of the caller cannot clash.
 _ID, _TX, _RUNS, _LOST = "__line_id", "__line_text", "__line_runs", "__line_lost"
@@ -45,15 +45,16 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def dropped_runs(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(id, tx, lost): the dropped line positions of each document that loses any."""
-    found = long_lines(docs, min_chars).repartitionByRange("h1", "h2", _ID)
-    found = found.sortWithinPartitions("h1", "h2", F.col(_ID).desc(), "pos")
-    per_document = found.groupBy("h1", "h2", _ID).agg(F.min("pos").alias("pos"))
+    found = written(long_lines(docs, min_chars), "lines-hashes")
+    ranged = found.repartitionByRange("h1", "h2", _ID).sortWithinPartitions("h1", "h2", F.col(_ID).desc(), "pos")
+    per_document = ranged.groupBy("h1", "h2", _ID).agg(F.min("pos").alias("pos"))
     repeated = (
         per_document.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max(_ID).alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
         .select("h1", "h2", "keeper")
     )
+    repeated = written(repeated, "lines-repeated")
     lost = found.join(repeated, ["h1", "h2"]).filter(~F.col(_ID).eqNullSafe(F.col("keeper")))
     return lost.groupBy(_ID, _TX).agg(F.sort_array(F.collect_set("pos")).alias(_LOST))
 
