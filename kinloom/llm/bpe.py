@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 from .common import map_batches
 
 END = "</w>"
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 64  # words a worker remembers, and their length
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 64  # words a worker remembers, and their length
 _NONE = 1 << 62
 # Str.split takes these four for white space, the tokenizer does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"

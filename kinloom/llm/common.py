@@ -15,6 +15,8 @@ from ..session import new_folder
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACES = " \t\n\x0b\x0c\r"
+BATCH_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,11 +38,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_package(df: DataFrame) -> DataFrame:
-    """``df`` in a session whose Python workers find this package where the driver found it.
+    """``df`` in a session whose Python workers find this package and get small batches.
 
     On a cluster the package is installed or sent along as usual; the path is for
-    sessions on one machine that were started from another folder.
+    sessions on one machine that were started from another folder.  Texts are long, so
+    batches of more than ``BATCH_BYTES`` would be held several times by every worker.
     """
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH).rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:  # a size with a unit was set on purpose
+        conf.set(_BATCH, str(BATCH_BYTES))
     env = df.sparkSession.sparkContext.environment
     known = env.get("PYTHONPATH", "")
     if _ROOT not in known.split(os.pathsep):
