@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import map_batches
+from .common import holds, map_batches
 
 END = "</w>"
 REMEMBERED, LONGEST_REMEMBERED = 200_000, 64  # words a worker remembers, and their length
@@ -243,6 +243,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+holds(encoder.cache_clear)
+
+
 def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -262,7 +265,7 @@ def tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         return step
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, ids array<int>, decoded string")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, ids array<int>, decoded string", holding=True)
 
 
 def _sha(parts) -> str:
@@ -289,4 +292,4 @@ def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         return step
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), make, schema, holding=True)

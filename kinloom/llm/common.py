@@ -59,10 +59,30 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return with_package(df).mapInArrow(run, schema)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
-    """``map_arrow`` batch by batch, with state made once per task by ``make``."""
+_held: list[Callable[[], None]] = []
+
+
+def holds(release: Callable[[], None]) -> None:
+    """Registers how a worker process gives back what it keeps between the tasks of one operator."""
+    _held.append(release)
+
+
+def give_back() -> None:
+    for release in _held:
+        release()
+
+
+def map_batches(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, holding: bool = False
+) -> DataFrame:
+    """``map_arrow`` batch by batch, with state made once per task by ``make``.
+
+    A task that is not ``holding`` first makes its worker give back what another operator kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holding:
+            give_back()
         step = make()
         for batch in batches:
             yield step(batch)
