@@ -16,8 +16,9 @@ class TableSpec:
 
     ``reader`` is ``csv``, ``tsv`` or ``fixed``.  ``layout`` holds (name, start,
     end) slices for fixed width.  Tab files carry no header, so their column
-    list is handed to the runner by table name.  ``multi_line`` is for tables whose
-    values hold line breaks; their files are one task each, all others are split.
+    list is handed to the runner by table name.  ``multi_line`` reads quoted line
+    breaks as part of a value, at one task per file; only a table known to hold none
+    may turn it off, which lets its files be split.
     """
 
     name: str
@@ -25,7 +26,7 @@ class TableSpec:
     reader: str = "csv"
     column_count: int | None = None
     lower_header: bool = False
-    multi_line: bool = False
+    multi_line: bool = True
     layout: Sequence[tuple[str, int, int]] = ()
     length: int = 0
     add_file_name: bool = False

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kinloom.plans.ingest import ingest, to_common
+from kinloom.plans.ingest import ingest, read_table, to_common
 from kinloom.schema import COMMON_COLUMNS
 from kinloom.sources.specs import SOURCES
 
@@ -108,6 +108,15 @@ def test_galaxy(spark, tmp_path, source):
         assert out["1"]["nametitle"] == "DR" and out["1"]["namesuffix"] is None
 
 
+@pytest.mark.parametrize("source", ["UDX_ADHOC", "USH_DENALI", "UOR_GALAXY", "USH_GALAXY"])
+def test_quoted_line_breaks_stay_in_their_value(spark, tmp_path, source):
+    for t in SOURCES.get(source).tables:
+        first, last = t.keep[0], t.keep[-1]
+        lines = csv(t, [{first: "1 Main St\nApt 2", last: "end"}, {first: "two"}], t.column_count)
+        rows = read_table(spark, t, [put(tmp_path, f"20240101000000_{t.name}_001_of_001.csv", lines)]).collect()
+        assert [(r[first], r[last]) for r in rows] == [("1 Main St\nApt 2", "end"), ("two", None)]
+
+
 def fixed(spec, row):
     line = [" "] * spec.length
     for name, start, end in spec.layout:
