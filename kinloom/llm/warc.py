@@ -8,8 +8,8 @@ is the response, the others are revisits without payload that refer to it.
 Reading.  The magic of a record may also stand inside a payload.  Tasks therefore report
 every place that looks like a record as a candidate with the offset of its successor.
 Per file, pointer jumping from offset 0 marks what the chain of successors reaches in
-logarithmically many steps; all other candidates are rejected.  Offsets are those of the
-uncompressed stream.  Only (offset, successor) pairs of one file come together, never
+logarithmically many steps; all other candidates are rejected.  A chain that does not end
+at the end of its file fails the job.  Offsets are those of the uncompressed stream.  Only (offset, successor) pairs of one file come together, never
 contents.
 """
 
@@ -33,7 +33,6 @@ from .common import map_arrow, with_package, written
 FILE_RECORDS = 2000
 END = "\r\n\r\n"
 _MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
-_HEADER_BYTES = 1 << 16
 # Digits of number bases as Spark writes them, and those of RFC 4648.
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -112,11 +111,19 @@ def unpacked(content: bytes) -> bytes:
 
 
 def candidates(data: bytes) -> Iterator[tuple[int, int, dict[str, str], int, int]]:
-    """(offset, successor, header, block start, block end) of whatever looks like a whole record."""
+    """(offset, successor, header, block start, block end) of whatever looks like a whole record.
+
+    A header may have any length.  Records start at offset 0 or after an empty line, so of
+    several magics before the same header end only the first can start one; the headers
+    that are looked at never overlap.
+    """
+    end = -1
     for magic in _MAGIC.finditer(data):
-        end = data.find(b"\r\n\r\n", magic.end() - 2, magic.end() + _HEADER_BYTES)
-        if end < 0:
+        if magic.end() - 2 <= end:
             continue
+        end = data.find(b"\r\n\r\n", magic.end() - 2)
+        if end < 0:
+            return
         lines = data[magic.end() : end].decode("utf-8", "replace").split("\r\n")
         header = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
         length = header.get("content-length", "")
@@ -137,7 +144,8 @@ _SCHEMA = (
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """The candidates of all archives below ``path`` with what their headers say.
 
-    ``intact`` tells whether a response's block has the length and digest of its header.
+    Each file also has one row for its end: offset and successor are its length, all else
+    is null.  ``intact`` tells whether a response's block has the length and digest of its header.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +157,9 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = unpacked(content.as_py())
-                yield pa.RecordBatch.from_pylist([_row(file, data, *c) for c in candidates(data)], schema)
+                rows = [_row(file, data, *c) for c in candidates(data)]
+                rows.append({"file": file, "offset": len(data), "successor": len(data)})
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return map_arrow(files, run, _SCHEMA)
@@ -193,12 +203,18 @@ def reached(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives below ``path``, candidates inside payloads rejected."""
+    """The records of all archives below ``path``, candidates inside payloads rejected.
+
+    Fails if the records of a file do not fill it from its start to its end.
+    """
     found = written(scan(spark, path), "warc-candidates")
 
     def chain(frame: pd.DataFrame) -> pd.DataFrame:
-        mark = reached(frame["offset"].to_numpy(), frame["successor"].to_numpy())
-        return frame.loc[mark, ["file", "offset"]]
+        offsets, successors = frame["offset"].to_numpy(), frame["successor"].to_numpy()
+        mark, end = reached(offsets, successors), offsets == successors
+        if not mark[end].all():
+            raise ValueError(f"the records of {frame['file'].iloc[0]} do not end at its length of {offsets[end][0]} bytes")
+        return frame.loc[mark & ~end, ["file", "offset"]]
 
     pairs = with_package(found.select("file", "offset", "successor")).groupBy("file")
     true = pairs.applyInPandas(chain, "file string, offset long")

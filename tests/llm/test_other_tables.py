@@ -104,6 +104,28 @@ def test_only_records_on_the_chain_are_reached(spark, tmp_path):
     assert sorted(r.page_id for r in warc.read_archives(spark, path).collect()) == list(range(8))
 
 
+def test_warc_of_long_urls(spark):
+    urls = ["u" * n for n in (65_000, 66_000, 70_000, 1_000_000)] + ["v", "http://x/WARC/1.1", None]
+    rows = [(i, url, f"page {i}") for i, url in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    assert sorted(r.page_id for r in warc.round_trip(df).collect()) == list(range(len(rows)))
+
+
+@pytest.mark.parametrize("tail", [b"WARC/1.1\r\nContent-Length: 9\r\n\r\ncut", b"\r\n", b"no record"])
+def test_a_chain_that_stops_before_the_end_of_its_file_fails(spark, tmp_path, tail):
+    record = b"WARC/1.1\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    (tmp_path / "part-0").write_bytes(record * 2)
+    assert warc.read_archives(spark, f"file://{tmp_path}").count() == 2
+    (tmp_path / "part-1").write_bytes(record + tail)
+    with pytest.raises(Exception, match="do not end at its length"):
+        warc.read_archives(spark, f"file://{tmp_path}").count()
+
+
+def test_magics_that_share_a_header_end_are_looked_at_once():
+    data = b"WARC/1.1\r\n" * 100_000 + b"Content-Length: 0\r\n\r\n\r\n\r\n"
+    assert [c[:2] for c in warc.candidates(data)] == [(0, len(data))]
+
+
 def test_pointer_jumping_over_a_long_chain():
     offsets = np.arange(0, 50_000, 10)
     inside = offsets[:-1] + 3  # fakes that chain among themselves
