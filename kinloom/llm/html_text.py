@@ -2,7 +2,9 @@
 
 1. A tolerant reader turns a page into a tree.  Elements that are furniture by tag, role
    or class word (menus, headers, footers, sidebars, notices, adverts, forms, comments)
-   are left out; where a page marks its article, only that is looked at.
+   are left out; where a page marks its article, only that is looked at.  Class words and
+   forms are no proof: what wraps the article or most of the text stays (``_settle``), and
+   a page is not left without text for their sake.
 2. Every remaining element subtree is hashed over tags and text.  Spark counts per host
    the different pages that hold a hash.  Subtrees on ``min_pages`` pages or more that
    make up ``min_share`` of the host's pages are its template.
@@ -36,7 +38,7 @@ INLINE = set(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = set(
-    "head script style noscript template nav footer aside form button select option textarea input iframe object "
+    "head script style noscript template nav footer aside button select option textarea input iframe object "
     "embed svg math canvas audio video map dialog menu title xmp noembed noframes".split()
 )
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -63,43 +65,126 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/\"'>]+)")
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+# After these a class tells what an element has or lacks, not what it is.
+_STATES = set("no not non has have having with without hide show".split())
+# The header of one of these is no page header.
+_HEADED = set("post entry article story content section chapter topic question".split())
+# How sure an element is furniture: a word among others or a form, a class of such words alone, its tag or role.
+MENTIONED, NAMED, CERTAIN = 1, 2, 3
 
 
 class Node:
-    __slots__ = ("tag", "parts", "dropped")
+    __slots__ = ("tag", "parts", "dropped", "furniture")
 
-    def __init__(self, tag: str, dropped: bool = False):
+    def __init__(self, tag: str, furniture: int = 0):
         self.tag = tag
         self.parts: list[Node | str] = []
-        self.dropped = dropped
-
-
-def _names(value: str) -> set[str]:
-    """The words of a class or id: sideBar is sidebar, side and bar."""
-    return {*re.findall("[a-z]+", value.lower()), *map(str.lower, _CLASS_WORD.findall(value))}
-
-
-def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not inside_article:
-        return True
+        self.furniture = furniture
+        self.dropped = furniture > 0
+
+
+def _names(value: str) -> list[set[str]]:
+    """The words of one class: sideBar is sidebar, side and bar; no-sidebar and page--sidebar name neither."""
+    found = []
+    for piece in re.findall("[A-Za-z]+", value.partition("--")[0]):
+        words = [w.lower() for w in _CLASS_WORD.findall(piece)]
+        state = next((i for i, w in enumerate(words) if w in _STATES), None)
+        if state is not None:
+            return [*found, *({w} for w in words[:state])]
+        found.append({piece.lower(), *words})
+    return found
+
+
+def _inside_article(stack: list[Node]) -> bool:
+    return any(n.tag in ("article", "main") for n in stack)
+
+
+def _class_furniture(tag: str, value: str, stack: list[Node]) -> int:
+    """Whether a class or id has words of furniture; an article must be named so by a whole class."""
+    most = 0
+    for one in value.split():
+        names = _names(one)
+        hits = [words & WORDS for words in names]
+        if any("header" in h for h in hits) and (_inside_article(stack) or any(words & _HEADED for words in names)):
+            hits = [h - {"header"} for h in hits]
+        if names and all(hits):
+            most = NAMED
+        elif any(hits) and tag != "article":
+            most = max(most, MENTIONED)
+    return most
+
+
+def _furniture(tag: str, attributes: str, stack: list[Node]) -> int:
+    if tag in DROPPED or tag == "header" and not _inside_article(stack):
+        return CERTAIN
+    # The label of a control goes with it, also where the form stays.
+    if tag == "label" and any(n.tag == "form" for n in stack):
+        return CERTAIN
+    most = MENTIONED if tag == "form" else 0
     if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
+        return most
     for name, double, single, bare, alone in _ATTRIBUTE.findall(attributes):
         name, value = (name or alone).lower(), html.unescape(double or single or bare)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.strip().lower() in ROLES:
-            return True
+            return CERTAIN
+        if name == "role" and (role := value.strip().lower()) in ROLES:
+            if role != "form":
+                return CERTAIN
+            most = max(most, MENTIONED)
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id") and not WORDS.isdisjoint(_names(value)):
-            return True
-    return False
+            return CERTAIN
+        if name in ("class", "id"):
+            most = max(most, _class_furniture(tag, value, stack))
+    return most
+
+
+def _settle(root: Node) -> None:
+    """Keeps what was dropped for its class words or as a form but wraps the content of the page.
+
+    That is what wraps (or is) an article or main element, where none stands under fewer such
+    names, and what holds more than half of the page's text outside links; the latter not if
+    a class names it furniture and an article or main element has other text.
+    """
+    seen: list[tuple[Node, int, tuple[int, int]]] = []
+    own: list[int] = []
+    todo = [(root, -1, (0, 0), False)]
+    while todo:
+        node, parent, rank, link = todo.pop()
+        if node.furniture == CERTAIN:
+            continue
+        if node.furniture:
+            rank = (rank[0] + (node.furniture == NAMED), rank[1] + 1)
+        link = link or node.tag == "a"
+        at = len(seen)
+        seen.append((node, parent, rank))
+        own.append(0 if link else sum(len(part.strip()) for part in node.parts if isinstance(part, str)))
+        todo += [(part, at, rank, link) for part in node.parts if isinstance(part, Node)]
+    total, clear = own[:], own[:]  # text of the subtree: all, and without what is dropped in it
+    for at in range(len(seen) - 1, 0, -1):
+        node, parent, _ = seen[at]
+        total[parent] += total[at]
+        clear[parent] += 0 if node.dropped else clear[at]
+    marked = False
+    for tag in ("article", "main"):
+        ranks = {at: rank for at, (node, _, rank) in enumerate(seen) if node.tag == tag}
+        least = min(ranks.values(), default=None)
+        walked = set()
+        for at, rank in ranks.items():
+            if rank == least:
+                marked = marked or clear[at] > 0
+                while at >= 0 and at not in walked:
+                    walked.add(at)
+                    seen[at][0].dropped = False
+                    at = seen[at][1]
+    for at, (node, _, _) in enumerate(seen):
+        if node.dropped and 2 * total[at] > total[0] and not (marked and node.furniture == NAMED):
+            node.dropped = False
 
 
 def parse(page: str | None) -> Node:
     """The tree of a page; anything unclosed, misnested or cut short still gives one."""
     root = Node("")
+    unsure = False
     stack = [root]
     page = (page or "").replace("\0", "")
     at = 0
@@ -130,8 +215,8 @@ def parse(page: str | None) -> Node:
                 break
             if stack[depth].tag in limits:
                 break
-        inside = any(n.tag in ("article", "main") for n in stack) if tag == "header" else False
-        node = Node(tag, _is_furniture(tag, attributes, inside))
+        node = Node(tag, _furniture(tag, attributes, stack))
+        unsure = unsure or 0 < node.furniture < CERTAIN
         stack[-1].parts.append(node)
         if tag in RAW:
             closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
@@ -144,11 +229,25 @@ def parse(page: str | None) -> Node:
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             stack.append(node)
     text(len(page))
+    if unsure:
+        _settle(root)
     return root
 
 
-def scope(root: Node) -> list[Node]:
-    """The article elements of a page if it marks any, else its main elements, else all of it."""
+def _has_text(roots: list[Node]) -> bool:
+    todo: list[Node | str] = list(roots)
+    while todo:
+        part = todo.pop()
+        if isinstance(part, str):
+            if part.strip():
+                return True
+        elif not part.dropped:
+            todo += part.parts
+    return False
+
+
+def _marked(root: Node) -> list[Node]:
+    """The article elements that have text, else the main elements, else the page; none without text."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     todo = [(root, frozenset())]
     while todo:
@@ -159,7 +258,20 @@ def scope(root: Node) -> list[Node]:
             found[node.tag].append(node)
             open_ = open_ | {node.tag}
         todo += [(part, open_) for part in reversed(node.parts) if isinstance(part, Node)]
-    return found["article"] or found["main"] or [root]
+    return next((roots for roots in (found["article"], found["main"], [root]) if _has_text(roots)), [])
+
+
+def scope(root: Node) -> list[Node]:
+    """Where the content of a page is; without any text, also in what class words or forms had dropped."""
+    found = _marked(root)
+    if found:
+        return found
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        node.dropped = node.furniture == CERTAIN
+        todo += [part for part in node.parts if isinstance(part, Node)]
+    return _marked(root) or [root]
 
 
 def subtree_hashes(roots: list[Node]) -> dict[int, int]:

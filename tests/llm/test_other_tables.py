@@ -158,6 +158,32 @@ def test_main_text(page, text):
     assert html_text.main_text(page, set()) == text
 
 
+LONG = "The story goes on and on."
+WRAPPED = [
+    (f'<div class="content no-sidebar"><p>{LONG}</p></div>', LONG),
+    (f'<div class="site hasSidebar page--menu with_comments"><p>{LONG}</p></div><div class="sidebar">s</div>', LONG),
+    (f'<article class="post has-comments category-social">{LONG}</article>', LONG),
+    (f'<article><div class="post-header"><h1>T</h1></div><p>{LONG}</p><div class="comments">c</div></article>', f"T {LONG}"),
+    (f'<div class="entry"><div class="entry-header"><h1>T</h1></div><p>{LONG}</p></div>', f"T {LONG}"),
+    (f'<form id="aspnetForm"><label>Find</label><input><div class="menu">m</div><p>{LONG}</p><button>Go</button></form>', LONG),
+    (f'<form role="form"><main><p>{LONG}</p></main><select><option>o</select></form>', LONG),
+    (f'<div class="layout left-sidebar"><article>{LONG}</article><div id="sidebar">s</div></div>', LONG),
+    (f'<main><div class="layout left-sidebar"><p>{LONG}</p><ul class="menu"><li>m</ul></div></main>', LONG),
+    (f'<p>lead</p><div class="layout left-sidebar"><p>{LONG}</p></div>', f"lead {LONG}"),
+    ('<article class="social">short</article><p>longer than the article</p>', "short"),
+    (f'<article>short</article><section class="comments"><article>{LONG}</article></section>', "short"),
+    (f'<p>short</p><div class="menu"><a href="/">{LONG}</a></div><form>f</form>', "short"),
+    ('<div class="menu"><a href="/">only</a></div><nav>n</nav>', "only"),
+    (f"<article> </article><p>{LONG}</p>", LONG),
+    ('<div class="ad">' * 3000 + "<article>deep", "deep"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), WRAPPED)
+def test_wrappers_named_after_furniture_keep_their_article(page, text):
+    assert html_text.main_text(page, set()) == text
+
+
 def test_templates_are_found_per_host(spark):
     menu = "<div><p>Our site</p><p>since ever</p></div>"
     rows = [(i, f"http://A.org:80/{i}", f"{menu}<p>story {i}</p><p>end</p>") for i in range(8)]
