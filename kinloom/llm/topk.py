@@ -4,7 +4,7 @@ A vector is a sparse document: its components, scaled to integers, are postings
 terms per dimension, one for positive and one for negative values.  A term's bound for a
 query is its largest contribution in the shard, or zero where the signs differ.
 
-Rows are dealt to shards by hash of their id and every shard meets every block of the
+Rows are dealt to shards by hash of their id and vector and every shard meets every block of the
 stated queries.  Per query a shard is scored in blocks of rows.  Terms are ordered by
 bound; those whose bounds together cannot lift a row over the k-th score so far are
 non-essential.  The essential postings are traversed, then the others are probed from
@@ -79,13 +79,14 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): floor(scale * x) per component, of rows that can take part.
 
     Rows without id, null vectors and vectors with null or non-finite components take no
-    part.  Rows that repeat a vec_id count once, with their smallest vector.  Scores must
-    fit a long.
+    part.  Every distinct vector of a vec_id is a row; rows that repeat both count once.
+    Scores must fit a long.
     """
     x = F.transform("embedding", lambda c: F.floor(c.cast("double") * scale).cast("long"))
     finite = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    single = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").distinct()
+    return single.select("vec_id", x.alias("v"))
 
 
 def _packed(rows: DataFrame, *keys: str) -> DataFrame:
@@ -104,21 +105,24 @@ def _matrix(rows) -> tuple[np.ndarray, np.ndarray]:
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each query, ties to smaller ids.
 
-    Queries are the rows whose vec_id is divisible by ``every``.  Vectors of unequal length
-    meet in the components both have.
+    Queries are the rows whose vec_id is divisible by ``every``; other rows are those of
+    another vec_id.  A vec_id with several vectors can be found with each of them, and as a
+    query takes the best of all their pairs.  Vectors of unequal length meet in the
+    components both have.
     """
     rows = integer_vectors(vectors)
-    total = rows.count()
+    asks = F.col("vec_id") % every == 0
+    total, asking = rows.select(F.count(F.lit(1)), F.count_if(asks)).first()
     if total == 0:
         return rows.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")
         )
     shards = -(-total // SHARD_ROWS)
-    blocks = -(-total // (every * QUERY_ROWS))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
+    blocks = max(1, -(-asking // QUERY_ROWS))
+    shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards))
     sharded = _packed(rows.withColumn("shard", shard).repartition(shards, "shard"), "shard")
-    queries = rows.filter(F.col("vec_id") % every == 0)
-    asked = _packed(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))), "block")
+    queries = rows.filter(asks)
+    asked = _packed(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(blocks))), "block")
     # Every block of queries goes to every shard; the join is on the shard, a task each.
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
     asked = asked.withColumnRenamed("rows", "queries").repartition(shards, "shard")

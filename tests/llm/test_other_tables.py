@@ -5,10 +5,11 @@ import hashlib
 import json
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
-from kinloom.llm import chat, html_text, topk, warc
+from kinloom.llm import chat, html_text, queries, topk, warc
 from kinloom.session import new_folder
 
 # ---- top-k -----------------------------------------------------------------
@@ -50,6 +51,21 @@ def test_top_k_edge_cases(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_every_vector_of_a_repeated_id_is_found(spark, monkeypatch):
+    for name, size in (("SHARD_ROWS", 40), ("QUERY_ROWS", 2), ("BLOCK_ROWS", 16)):
+        monkeypatch.setattr(topk, name, size)
+    rng = np.random.default_rng(4)
+    rows = {(int(i), tuple(map(float, rng.integers(-9, 10, 4) / 8))) for i in rng.integers(0, 301, 600)}
+    # Some queries have several vectors, too; the last two differ below the scale.
+    rows = sorted(rows | {(i, (x, 0.5, 1.0, -1.0)) for i in (0, 100, 100_000) for x in (0.25, 2.0)})
+    rows += [(77, (9.0001, 9.0, 9.0, 9.0)), (77, (9.0002, 9.0, 9.0, 9.0))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [(i, list(v)) for i, v in rows])
+    df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(con.execute(queries.TOP_SQL).fetchall())
+
+
 def test_max_score_reads_less_than_everything():
     rng = np.random.default_rng(5)
     vectors = np.zeros((4000, 40), np.int64)
