@@ -1,11 +1,11 @@
 """Removal of lines repeated across documents, with built-in functions only.
 
 Texts are read once to hash their long lines.  The hashes are range-partitioned by (hash,
-document) and sorted inside the partitions by document, largest first, and position, so a
-line that a third of all documents share spreads over as many partitions as it needs.  One pass over the
-sorted rows reduces each hash to its number of documents and the first document met;
-what that leaves per partition is merged by hash.  Occurrences outside the first
-document are dropped through an N:1 join, and a document's keep bitmap is returned
+document), so a line that a third of all documents share spreads over as many partitions
+as it needs.  There hash aggregates reduce them to one row per hash and document and each
+hash to its number of documents and the largest one; what that leaves per partition is
+merged by hash.  Nothing is sorted for this, as count and maximum need no order.
+Occurrences outside the largest document are dropped through an N:1 join, and a document's keep bitmap is returned
 run-length coded: the runs of lines that stay.  Texts are never shuffled for this;
 only applying a bitmap joins it to its text.
 """
@@ -46,8 +46,7 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 def dropped_runs(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(id, tx, lost): the dropped line positions of each document that loses any."""
     found = written(long_lines(docs, min_chars), "lines-hashes")
-    ranged = found.repartitionByRange("h1", "h2", _ID).sortWithinPartitions("h1", "h2", F.col(_ID).desc(), "pos")
-    per_document = ranged.groupBy("h1", "h2", _ID).agg(F.min("pos").alias("pos"))
+    per_document = found.select("h1", "h2", _ID).repartitionByRange("h1", "h2", _ID).distinct()
     repeated = (
         per_document.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max(_ID).alias("keeper"))
