@@ -30,10 +30,10 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, safe from lost executors."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, topk, warc
+from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, token_files, topk, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def main_text(spark: SparkSession, folder: str) -> DataFrame:
 def tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
     rows = chat.link(chat.with_tool_calls(table(spark, folder, "conversations")), chat.SCHEMAS)
     return rows.withColumns({"errors": F.array_join("errors", "; "), "json": F.sha2(F.col("json").cast("binary"), 256)})
+
+
+@query("op13_token_files")
+def token_file_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.digests(token_files.write(table(spark, folder, "documents")))
