@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, token_files, topk, warc
+from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, repair, token_files, topk, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,76 @@ def tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_token_files")
 def token_file_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.write(table(spark, folder, "documents")))
+
+
+# Backward over the rows of a conversation: for each state (e nothing, s, u, a) the least
+# (cost, audit, repaired turns) from there on.  o* are the edits of one row, b* put up to two
+# insertions before them; more than two never pay.
+REPAIR_SQL = """
+WITH RECURSIVE base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' ') AS k FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_concat([cast(4294967295 AS bigint)], range(0, 8 * length(k))), lambda c, i:
+  xor((CASE WHEN i % 8 = 0 THEN xor(c, cast(ascii(substr(k, i // 8 + 1, 1)) AS bigint)) ELSE c END) >> 1,
+  ((CASE WHEN i % 8 = 0 THEN xor(c, cast(ascii(substr(k, i // 8 + 1, 1)) AS bigint)) ELSE c END) & 1) * 3988292384)),
+  4294967295) % 20 AS e FROM base),
+hurt AS (SELECT conv_id, turn, CASE e WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE e WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(CASE e WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM crc),
+num AS (SELECT conv_id, turn, role, text, left(role, 1) AS ini,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS tr,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i,
+  count(*) OVER (PARTITION BY conv_id) AS n FROM hurt),
+ord AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM num),
+row_ AS (SELECT *, CASE WHEN tr = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+  WHEN right(tr, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM ord),
+told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM row_ GROUP BY conv_id),
+dp AS (
+  SELECT conv_id, max(n) + 1 AS i,
+    {'c': 0, 'a': '', 'r': cast([] AS varchar[])} AS be, {'c': 4, 'a': 'II', 'r': ['user:', 'assistant:']} AS bs,
+    {'c': 2, 'a': 'I', 'r': ['assistant:']} AS bu, {'c': 0, 'a': '', 'r': cast([] AS varchar[])} AS ba
+  FROM row_ GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i,
+    list_min([oe, {'c': 2 + ou.c, 'a': 'I' || ou.a, 'r': list_prepend('user:', ou.r)},
+      {'c': 4 + oa.c, 'a': 'II' || oa.a, 'r': list_concat(['user:', 'assistant:'], oa.r)}]),
+    list_min([os, {'c': 2 + ou.c, 'a': 'I' || ou.a, 'r': list_prepend('user:', ou.r)},
+      {'c': 4 + oa.c, 'a': 'II' || oa.a, 'r': list_concat(['user:', 'assistant:'], oa.r)}]),
+    list_min([ou, {'c': 2 + oa.c, 'a': 'I' || oa.a, 'r': list_prepend('assistant:', oa.r)}]),
+    list_min([oa, {'c': 2 + ou.c, 'a': 'I' || ou.a, 'r': list_prepend('user:', ou.r)}])
+  FROM (SELECT conv_id, i,
+    list_min(list_filter([{'c': 3 + be.c, 'a': 'D' || be.a, 'r': be.r},
+      CASE WHEN ok AND ini = 's' THEN {'c': cut + bs.c, 'a': 'K' || bs.a, 'r': list_prepend(line, bs.r)} END,
+      CASE WHEN ok AND ini = 'u' THEN {'c': cut + bu.c, 'a': 'K' || bu.a, 'r': list_prepend(line, bu.r)} END,
+      CASE WHEN ok THEN {'c': 2 + cut + bu.c, 'a': 'R' || bu.a, 'r': list_prepend('user:' || text, bu.r)} END],
+      lambda x: x IS NOT NULL)) AS oe,
+    list_min(list_filter([{'c': 3 + bs.c, 'a': 'D' || bs.a, 'r': bs.r},
+      CASE WHEN ok AND ini = 'u' THEN {'c': cut + bu.c, 'a': 'K' || bu.a, 'r': list_prepend(line, bu.r)} END,
+      CASE WHEN ok THEN {'c': 2 + cut + bu.c, 'a': 'R' || bu.a, 'r': list_prepend('user:' || text, bu.r)} END],
+      lambda x: x IS NOT NULL)) AS os,
+    list_min(list_filter([{'c': 3 + bu.c, 'a': 'D' || bu.a, 'r': bu.r},
+      CASE WHEN ok AND ini = 'a' THEN {'c': cut + ba.c, 'a': 'K' || ba.a, 'r': list_prepend(line, ba.r)} END,
+      CASE WHEN ok THEN {'c': 2 + cut + ba.c, 'a': 'R' || ba.a, 'r': list_prepend('assistant:' || text, ba.r)} END],
+      lambda x: x IS NOT NULL)) AS ou,
+    list_min(list_filter([{'c': 3 + ba.c, 'a': 'D' || ba.a, 'r': ba.r},
+      CASE WHEN ok AND ini = 'u' THEN {'c': cut + bu.c, 'a': 'K' || bu.a, 'r': list_prepend(line, bu.r)} END,
+      CASE WHEN ok THEN {'c': 2 + cut + bu.c, 'a': 'R' || bu.a, 'r': list_prepend('user:' || text, bu.r)} END],
+      lambda x: x IS NOT NULL)) AS oa
+    FROM (SELECT dp.conv_id, w.i, be, bs, bu, ba, ini, text, role || ':' || text AS line,
+      fault IN ('', 'truncated') AS ok, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END AS cut
+      FROM dp JOIN row_ w ON w.conv_id IS NOT DISTINCT FROM dp.conv_id AND w.i = dp.i - 1))),
+done AS (SELECT conv_id, be FROM dp WHERE i = 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cast(coalesce(be.c, 0) AS bigint) AS cost,
+  coalesce(be.a, '') AS audit, sha256(coalesce(array_to_string(be.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@query("op11_conversation_repair", REPAIR_SQL)
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_digests(repair.damaged(table(spark, folder, "conversations")))
