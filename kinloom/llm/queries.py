@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, repair, token_files, topk, warc
+from . import bpe, chat, decontaminate, html_text, langid, lines, minhash, quality, repair, token_files, topk, trie, warc
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,32 @@ LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id"""
 @query("op11_conversation_repair", REPAIR_SQL)
 def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_digests(repair.damaged(table(spark, folder, "conversations")))
+
+
+TRIE_SQL = """
+WITH base AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)) AS s,
+  cast(conv_id AS varchar) AS k FROM base GROUP BY conv_id),
+crc AS (SELECT *, xor(list_reduce(list_concat([cast(4294967295 AS bigint)], range(0, 8 * length(k))), lambda c, i:
+  xor((CASE WHEN i % 8 = 0 THEN xor(c, cast(ascii(substr(k, i // 8 + 1, 1)) AS bigint)) ELSE c END) >> 1,
+  ((CASE WHEN i % 8 = 0 THEN xor(c, cast(ascii(substr(k, i // 8 + 1, 1)) AS bigint)) ELSE c END) & 1) * 3988292384)),
+  4294967295) % 6 AS h FROM own),
+seq AS (SELECT c.conv_id, list_concat(CASE WHEN b.s IS NULL THEN [] ELSE list_slice(b.s, 1, h) END,
+  list_slice(c.s, h + 1, len(c.s))) AS q FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+pre AS (SELECT conv_id, q, unnest(range(0, len(q) + 1)) AS d FROM seq),
+node AS (SELECT list_slice(q, 1, d) AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+  string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (len(q) = d) AS e FROM pre GROUP BY ALL),
+kid AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+told AS (SELECT node.*, coalesce(kid.n, 0) AS n_children, (n_convs - 1) * coalesce(length(node.k[d].x), 0) AS own
+  FROM node LEFT JOIN kid ON kid.k = node.k),
+sub AS (SELECT list_slice(k, 1, a) AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM told) GROUP BY ALL)
+SELECT told.conv_id, told.d AS depth, up.conv_id AS parent_conv_id, told.n_convs, told.n_children, sub.n_leaves,
+  cast(sub.saved AS bigint) AS saved_tokens, sha256(coalesce(told.e, '')) AS ends_sha256
+FROM told JOIN sub ON sub.k = told.k LEFT JOIN node up ON told.d > 0 AND up.k = list_slice(told.k, 1, told.d - 1)"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(table(spark, folder, "conversations")))

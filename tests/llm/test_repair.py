@@ -118,7 +118,7 @@ def test_runs_equal_rows():
 
 def test_long_conversation_and_repeats(spark):
     """One conversation with most rows, long runs, a very long text and many equal rows."""
-    rows = [(7, t, "user" if t % 3 else "assistant", "same." if t < 200 else f"text {t}.") for t in range(320)]
+    rows = [(7, t, "user" if t % 3 else "assistant", "same." if t < 90 else f"text {t}.") for t in range(150)]
     rows += [(8, 5, "user", "x." * 500_000)] + [(9, 1, "user", "twice")] * 40
     assert ours(spark, rows) == brute_force(rows)
 
