@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,8 +42,37 @@ _TYPES = {
     "boolean": lambda v: isinstance(v, bool),
     "null": lambda v: v is None,
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
-    "integer": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool) and float(v).is_integer(),
+    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
 }
+# Keywords that ``violations`` judges, and those that only describe.
+_JUDGED = {
+    "type", "enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength",
+    "minItems", "maxItems", "items", "properties", "required", "additionalProperties",
+}
+_DESCRIBING = {"title", "description", "default", "examples", "$comment"}
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def refuse_unknown(schema: dict, at: str = "$") -> None:
+    """ValueError for a schema that says more than ``violations`` understands."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"schema at {at} is no object")
+    if strange := sorted(schema.keys() - _JUDGED - _DESCRIBING):
+        raise ValueError(f"schema at {at} has unsupported keywords: {', '.join(strange)}")
+    kinds = schema.get("type", [])
+    if strange := sorted(({kinds} if isinstance(kinds, str) else set(kinds)) - _TYPES.keys()):
+        raise ValueError(f"schema at {at} has unknown types: {', '.join(strange)}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"schema at {at}: additionalProperties must be true or false")
+    for key, below in schema.get("properties", {}).items():
+        refuse_unknown(below, f"{at}.{key}")
+    if "items" in schema:
+        refuse_unknown(schema["items"], f"{at}[]")
+
+
+def escaped(text: str) -> str:
+    """Lone surrogates, which no UTF-8 text can hold, as JSON escapes."""
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def violations(value, schema: dict, at: str = "$") -> list[str]:
@@ -52,15 +82,23 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     if kinds and not any(_TYPES[k](value) for k in kinds):
         return [f"{at}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):  # 1 is not true
         found.append(f"{at}: not in enum")
+    if "const" in schema and canonical(value) != canonical(schema["const"]):
+        found.append(f"{at}: not the constant")
     if _TYPES["number"](value):
         if value < schema.get("minimum", value):
             found.append(f"{at}: too small")
         if value > schema.get("maximum", value):
             found.append(f"{at}: too large")
+        if "exclusiveMinimum" in schema and value <= schema["exclusiveMinimum"]:
+            found.append(f"{at}: too small")
+        if "exclusiveMaximum" in schema and value >= schema["exclusiveMaximum"]:
+            found.append(f"{at}: too large")
     if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf):
         found.append(f"{at}: length")
+    if isinstance(value, list) and not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", math.inf):
+        found.append(f"{at}: number of items")
     if isinstance(value, list) and "items" in schema:
         for i, item in enumerate(value):
             found += violations(item, schema["items"], f"{at}[{i}]")
@@ -85,7 +123,7 @@ def canonical(value) -> str:
             return [plain(x) for x in v]
         return int(v) if isinstance(v, float) and v.is_integer() and abs(v) < 2**53 else v
 
-    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    return escaped(json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False))
 
 
 def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -> tuple[object, list[str]]:
@@ -95,9 +133,9 @@ def checked(name: str | None, arguments: str | None, schemas: dict[str, dict]) -
     try:
         value = json.loads(arguments or "")
         canonical(value)
+        return value, [escaped(e) for e in violations(value, schemas[name])]
     except (ValueError, RecursionError):
         return None, ["arguments are not JSON"]
-    return value, violations(value, schemas[name])
 
 
 # ---- linking ---------------------------------------------------------------
@@ -174,7 +212,12 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     Of calls repeating an id within a conversation the first in turn order counts, of
     results the first behind its call, or else the first.  Messages with null conv_id form
     no conversation and link to nothing; null or other texts hold no calls.
+
+    A schema with keywords that the validation does not know is refused before any row is
+    read.  Numbers of any size are accepted; lone surrogates become JSON escapes.
     """
+    for schema in schemas.values():
+        refuse_unknown(schema)
     named = messages.select("conv_id", "turn", "role", "text").filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     calls = calls_of(named).groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "place", "name", "arguments", "needs")).alias("c")
