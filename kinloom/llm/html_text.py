@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 import xxhash
@@ -95,17 +96,17 @@ def _names(value: str) -> list[set[str]]:
     return found
 
 
-def _inside_article(stack: list[Node]) -> bool:
-    return any(n.tag in ("article", "main") for n in stack)
+def _inside_article(places: dict[str, list[int]]) -> bool:
+    return bool(places["article"] or places["main"])
 
 
-def _class_furniture(tag: str, value: str, stack: list[Node]) -> int:
+def _class_furniture(tag: str, value: str, places: dict[str, list[int]]) -> int:
     """Whether a class or id has words of furniture; an article must be named so by a whole class."""
     most = 0
     for one in value.split():
         names = _names(one)
         hits = [words & WORDS for words in names]
-        if any("header" in h for h in hits) and (_inside_article(stack) or any(words & _HEADED for words in names)):
+        if any("header" in h for h in hits) and (_inside_article(places) or any(words & _HEADED for words in names)):
             hits = [h - {"header"} for h in hits]
         if names and all(hits):
             most = NAMED
@@ -114,11 +115,11 @@ def _class_furniture(tag: str, value: str, stack: list[Node]) -> int:
     return most
 
 
-def _furniture(tag: str, attributes: str, stack: list[Node]) -> int:
-    if tag in DROPPED or tag == "header" and not _inside_article(stack):
+def _furniture(tag: str, attributes: str, places: dict[str, list[int]]) -> int:
+    if tag in DROPPED or tag == "header" and not _inside_article(places):
         return CERTAIN
     # The label of a control goes with it, also where the form stays.
-    if tag == "label" and any(n.tag == "form" for n in stack):
+    if tag == "label" and places["form"]:
         return CERTAIN
     most = MENTIONED if tag == "form" else 0
     if not attributes.strip() or tag in ("html", "body", "main"):
@@ -134,7 +135,7 @@ def _furniture(tag: str, attributes: str, stack: list[Node]) -> int:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return CERTAIN
         if name in ("class", "id"):
-            most = max(most, _class_furniture(tag, value, stack))
+            most = max(most, _class_furniture(tag, value, places))
     return most
 
 
@@ -186,6 +187,7 @@ def parse(page: str | None) -> Node:
     root = Node("")
     unsure = False
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack each tag stands open
     page = (page or "").replace("\0", "")
     at = 0
 
@@ -193,6 +195,14 @@ def parse(page: str | None) -> Node:
         if end > at:
             stack[-1].parts.append(html.unescape(page[at:end]))
 
+    def opened(node: Node) -> None:
+        places[node.tag].append(len(stack))
+        stack.append(node)
+
+    def closed(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop().tag].pop()
+
     while token := _TOKEN.search(page, at):
         text(token.start())
         at = token.end()
@@ -203,19 +213,15 @@ def parse(page: str | None) -> Node:
         if slash:
             if tag == "br":
                 stack[-1].parts.append(Node("br"))
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if places[tag]:
+                closed(places[tag][-1])
             continue
         ended, limits = _CLOSES.get(tag, ({"p"} if tag in _P_ENDS else set(), {"table", "button", "td", "th", "caption"}))
-        for depth in range(len(stack) - 1, 0, -1) if ended else ():
-            if stack[depth].tag in ended:
-                del stack[depth:]
-                break
-            if stack[depth].tag in limits:
-                break
-        node = Node(tag, _furniture(tag, attributes, stack))
+        if ended:
+            depth = max((places[t][-1] for t in ended if places[t]), default=0)
+            if depth and depth >= max((places[t][-1] for t in limits if places[t]), default=0):
+                closed(depth)
+        node = Node(tag, _furniture(tag, attributes, places))
         unsure = unsure or 0 < node.furniture < CERTAIN
         stack[-1].parts.append(node)
         if tag in RAW:
@@ -225,9 +231,9 @@ def parse(page: str | None) -> Node:
                 node.parts.append(html.unescape(page[at:end]))
             at = end
             if closing:
-                stack.append(node)
+                opened(node)
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append(node)
+            opened(node)
     text(len(page))
     if unsure:
         _settle(root)
