@@ -67,6 +67,9 @@ def word_hashes(text: bytes | None) -> np.ndarray:
     lengths = np.diff(starts, append=len(letters))
     place = np.arange(len(letters)) - np.repeat(starts, lengths)
     sums = np.add.reduceat(_BYTE[letters] * _PLACE[place % _LETTERS], starts)
+    for i in np.flatnonzero(lengths > _LETTERS):  # beyond the multipliers: no place may count like another
+        word = letters[starts[i] : starts[i] + lengths[i]].tobytes()
+        sums[i] = np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), np.uint64)[0]
     return _stirred(sums + lengths.astype(np.uint64))
 
 
