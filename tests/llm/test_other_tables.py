@@ -4,6 +4,9 @@ import base64
 import hashlib
 import json
 import math
+import random
+import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -277,3 +280,103 @@ def test_derived_conversations_link_as_counted(spark, sf_dir):
     assert sum(r.status == "linked" for r in got) == len(calls & answers)
     assert sum(r.status == "orphan" for r in got) == len(answers - calls)
     assert all(r.status == "orphan" or json.loads(r.json)["id"] == r.call_id for r in got)
+
+
+# ---- whatever valid JSON may hold ---------------------------------------------
+
+
+def calling(conv, turn, calls):
+    return (conv, turn, "assistant", json.dumps({"tool_calls": calls}))
+
+
+def test_numbers_of_any_size_and_lone_surrogates(spark):
+    arguments = ['{"query":"x","limit":' + "9" * 400 + "}", '{"query":"\\ud800","limit":1}', '{"query":"x","limit":1,"\\udfff":2}', '{"limit":1e999}']
+    rows = [calling(1, i, [{"id": f"c{i}", "name": "search", "arguments": a, "needs": []}]) for i, a in enumerate(arguments)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.call_id: r for r in chat.link(frame, chat.SCHEMAS).collect()}
+    assert got["c0"].errors == ["$.limit: too large"] and got["c1"].errors == []
+    assert json.loads(got["c1"].json)["arguments"]["query"] == "\ud800"
+    assert got["c2"].errors == ["$: unknown \\udfff"] and got["c3"].errors == ["arguments are not JSON"]
+
+
+@pytest.mark.parametrize("schema", [{"pattern": "a"}, {"items": {"$ref": "#"}}, {"properties": {"a": {"anyOf": []}}}, {"type": "float"}, True])
+def test_schemas_that_say_more_are_refused(spark, schema):
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    with pytest.raises(ValueError, match="schema"):
+        chat.link(empty, {"tool": schema})
+
+
+def test_keywords():
+    wrong = lambda value, **schema: bool(chat.violations(value, schema))
+    assert wrong(1, enum=[True]) and not wrong(1.0, enum=[1]) and wrong(2, const=1) and not wrong([1], const=[1])
+    assert wrong(3, exclusiveMinimum=3) and wrong(3, exclusiveMaximum=3) and wrong([1], minItems=2) and wrong([1, 2], maxItems=1)
+
+
+def test_links_equal_brute_force(spark):
+    """Random conversations: several needs a call, unknown and later needs, repeated ids, early and missing results."""
+    draw = random.Random(4)
+    rows, calls, results = [], {}, {}
+    for conv in range(40):
+        for turn in range(draw.randrange(12)):
+            if draw.random() < 0.5:
+                made = [
+                    {"id": f"c{draw.randrange(12)}", "name": draw.choice(["search", "translate", "none"]), "arguments": draw.choice(['{"query":"q","limit":5}', "{", "{}"]),
+                     "needs": [f"c{n}" for n in draw.sample(range(13), draw.randrange(4))]}
+                    for _ in range(draw.randrange(3))
+                ]
+                rows.append(calling(conv, turn, made))
+                for place, call in enumerate(made):
+                    calls.setdefault((conv, call["id"]), (turn, place, call))
+            else:
+                name, content = f"c{draw.randrange(12)}", draw.choice(["r", "s"])
+                rows.append((conv, turn, "tool", json.dumps({"tool_call_id": name, "content": content})))
+                results.setdefault((conv, name), []).append((turn, content))
+    levels, bad = {}, {}
+    for key, (turn, place, call) in sorted(calls.items(), key=lambda x: x[1][:2]):
+        sound = [n for n in set(call["needs"]) if (key[0], n) in calls and calls[key[0], n][:2] < (turn, place)]
+        bad[key] = len(set(call["needs"])) - len(sound)
+        levels[key] = max((levels[key[0], n] + 1 for n in sound), default=0)
+    expected = {}
+    for key in calls.keys() | results.keys():
+        found = sorted(results.get(key, []))
+        if key not in calls:
+            expected[key] = (None, None, "orphan", found[0][0], None)
+            continue
+        turn, _, call = calls[key]
+        behind = [r for r in found if r[0] > turn]
+        status = "linked" if behind else "early" if found else "unanswered"
+        _, errors = chat.checked(call["name"], call["arguments"], chat.SCHEMAS)
+        errors = [*errors, *([f"{bad[key]} needs are unknown or later"] if bad[key] else [])]
+        expected[key] = (turn, levels[key], status, (behind or found or [(None,)])[0][0], errors)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.call_id): (r.turn, r.level, r.status, r.result_turn, None if r.status == "orphan" else r.errors) for r in chat.link(frame, chat.SCHEMAS).collect()}
+    assert got == expected
+
+
+# ---- long and deep pages ------------------------------------------------------
+
+
+@pytest.mark.parametrize("page", ["<div>" * 16_000 + "</i>" * 16_000, "<p><b>" * 30_000, "<li><ul>" * 30_000, '<div class="x">' * 70_000])
+def test_deep_pages_take_linear_time(page):
+    start = time.process_time()
+    assert html_text.main_text(page + "the text", set()) == "the text"
+    assert time.process_time() - start < 15
+
+
+def test_templates_equal_brute_force(spark):
+    """Every subtree that recurs on enough pages of its host goes, on random pages of three hosts."""
+    draw = random.Random(9)
+    pages = []
+    for i in range(60):
+        blocks = [f"<p>{draw.choice(['alpha', 'beta', 'gamma', 'delta'])} block</p>" for _ in range(draw.randrange(4))]
+        pages.append((i, f"http://h{i % 3}.org/{i}", f"<body><div>{''.join(blocks)}</div><p>page {i}</p></body>"))
+    seen = {}
+    for i, url, _ in pages:
+        seen.setdefault(url.split("/")[2], []).append(i)
+    trees = {i: html_text.scope(html_text.parse(page)) for i, _, page in pages}
+    hashes = {i: set(html_text.subtree_hashes(t).values()) for i, t in trees.items()}
+    got = {r.host: set(r.template) for r in html_text.templates(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for host, ids in seen.items():
+        counts = Counter(h for i in ids for h in hashes[i])
+        least = max(html_text.MIN_PAGES, html_text.MIN_SHARE * len(ids))
+        assert got.get(host, set()) == {h for h, n in counts.items() if n >= least}
