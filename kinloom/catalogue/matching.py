@@ -319,8 +319,12 @@ FROM (SELECT * FROM written UNION ALL SELECT * FROM kept)""",
 )
 def store_after_batch(source: Source):
     """Every row of the store after the batch: id, confidence, time, stamps and history."""
+    return stored_columns(resolution_of(source).store)
+
+
+def stored_columns(store):
     past = F.coalesce("past_uxids", F.array().cast("array<struct<uxid:string,uxid_confidence:double,uxid_last_changed_timestamp:string>>"))
-    return resolution_of(source).store.select(
+    return store.select(
         "source_name",
         "source_customer_id",
         "batch_record_id",

@@ -148,17 +148,21 @@ def _shared_words(size: Column, threshold: float) -> Column:
     return F.ceil(size * F.lit(threshold) - F.lit(_EPS)).cast("int")
 
 
-def _token_sets(texts: DataFrame) -> DataFrame:
+def _token_sets(texts: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """(side, head, tokens): distinct words per text, rarest first.
 
-    Rarity is counted over both sides with map-side combining.  Only the words of
+    Rarity is counted over both sides with map-side combining, or comes from
+    ``frequency`` (w, df), in which a missing word counts as rarest.  Only the words of
     one person's text are ever gathered in one row.
     """
     listed = F.array_distinct(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""))
     words = texts.select("side", "head", F.explode(listed).alias("w"))
-    frequency = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    if frequency is None:
+        ranked = words.join(words.groupBy("w").agg(F.count(F.lit(1)).alias("df")), "w")
+    else:
+        ranked = words.join(frequency, "w", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("long")))
     return (
-        words.join(frequency, "w")
+        ranked
         .groupBy("side", "head")
         .agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ranked"))
         .select("side", "head", F.col("ranked.w").alias("tokens"))

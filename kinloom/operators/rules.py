@@ -78,10 +78,14 @@ _ID_TYPES = {"uxid": "string", "uxid_confidence": "double", "id_res_last_updated
 
 def guest_components(df: DataFrame, id_col: str = "candidate_uxid", key: str = "rules_guest_id") -> DataFrame:
     """(id, component) of the graph in which ids sharing a guest id are linked."""
-    return connected_components(
-        df.select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull()),
-        star_edges(df, key, id_col),
-    )
+    return connected_components(*guest_links(df, id_col, key))
+
+
+def guest_links(
+    df: DataFrame, id_col: str = "candidate_uxid", key: str = "rules_guest_id"
+) -> tuple[DataFrame, DataFrame]:
+    """The vertices (id) and edges (src, dst) of that graph."""
+    return df.select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull()), star_edges(df, key, id_col)
 
 
 def elect_component_id(df: DataFrame, components: DataFrame, strict: bool = True) -> DataFrame:
