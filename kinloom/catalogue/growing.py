@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import match, rules
+from ..operators import batches, enrich, match, rules
 from ..plans.components import ComponentStore, add_edges
 from ..plans.indexed import IndexedStore, resolve_into
+from ..plans.loop import FileManifest, claim, marked, run_loop
 from ..session import cut_lineage, new_folder
-from . import identity, matching
+from . import enrichment, identity, matching
 from .registry import SQL, Source, query
 from .resolution import CONTEXT
 
@@ -124,3 +125,56 @@ def batched_components(source: Source):
         part = [df.filter(F.pmod(F.xxhash64(df.columns[0]), F.lit(3)) == number) for df in (vertices, links)]
         add_edges(source.spark, folder, *part, f"batch-{number}")
     return ComponentStore.latest(source.spark, folder).labels()
+
+
+# Files of the loop: the batch by day.  Enriched before anything is matched.
+FILE = "concat('day-', substr(record_last_updated_timestamp, 1, 10))"
+ENRICHED = f"""{enrichment.VALUES_SQL.replace("keyed AS", "asking AS").replace("FROM ident)", "FROM batch)")},
+raw_batch AS (SELECT * EXCLUDE (k0, k, f, l, z, s, p, origin) REPLACE (coalesce(ml_first_name, f) AS ml_first_name, coalesce(ml_last_name, l) AS ml_last_name,
+  coalesce(ml_postal_code, z) AS ml_postal_code) FROM (SELECT * FROM asking LEFT JOIN vals ON k0 = k))"""
+
+
+def file_manifest(rows, folder: str):
+    files = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count")).withColumn("source", F.lit("DAILY"))
+    return FileManifest.create(files, folder, max_rows=2_000)
+
+
+@query("mb01_resolving_loop", sql=grown(SQL["id08_store_after_batch"]).replace("raw_batch AS (SELECT * FROM batch)", ENRICHED))
+def resolving_loop(source: Source):
+    """The store after the loop has admitted, enriched, resolved and marked every file."""
+    view = Growing(source)
+    rows = view.batch.withColumn("file_name", F.expr(FILE))
+    folder = new_folder(source.spark, "loop")
+    file_manifest(rows, f"{folder}/files")
+    cache, lookup = enrichment.cache(source), enrichment.lookup(source)
+    rounds = run_loop(
+        source.spark,
+        f"{folder}/files",
+        view.folder,
+        f"{folder}/export",
+        lambda names: rows.filter(F.col("file_name").isin(list(names))).drop("file_name"),
+        CONTEXT,
+        enrich=lambda batch: enrich.enrich_by_email(batch, cache, lookup),
+        max_records=10**9,
+    )
+    if failed := [r.error for r in rounds if r.error]:
+        raise RuntimeError(failed[0])
+    return matching.stored_columns(IndexedStore.latest(source.spark, view.folder).rows())
+
+
+@query(
+    "mb03_claimed_files",
+    sql=f"""WITH ident AS ({GROWING_SQL}), batch AS ({identity.BATCH_SQL}), files AS (SELECT {FILE} AS file_name, count(*) AS row_count FROM batch GROUP BY 1)
+SELECT file_name, row_count, CASE WHEN (row_number() OVER (ORDER BY file_name) - 1) // 2 % 2 = 0 THEN 'complete' ELSE 'failed' END AS status FROM files""",
+)
+def claimed_files(source: Source):
+    """Files claimed two by two; every other batch fails."""
+    rows = identity.batch(Growing.rows(source)).withColumn("file_name", F.expr(FILE))
+    folder = new_folder(source.spark, "claims")
+    file_manifest(rows, folder)
+    ok = True
+    while claimed := claim(source.spark, folder, max_items=2, max_records=10**9):
+        batch_id, names = claimed
+        marked(source.spark, folder, names, batches.DONE if ok else batches.FAILED, batch_id)
+        ok = not ok
+    return FileManifest.latest(source.spark, folder).files().select("file_name", "row_count", "status")

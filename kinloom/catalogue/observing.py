@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import logs, rules
 from ..session import new_folder
-from ..streaming import loop, observe
+from ..streaming import loop, observe, timers
 from . import identity
 from .registry import Source, query
 from .resolution import CONTEXT, MINTED_CTE
@@ -166,6 +166,36 @@ def alarm_stream(source: Source):
     return out.select("event_type", as_text("period"), "breaches", "state")
 
 
+# Users come and go: six hours without any event breach, two days of them end a user's watch.
+SILENCE = logs.Alarm("silence", "max", ">", 95, m=3, n=4, period="21600 seconds", missing_breaches=True)
+DEAD_AFTER = 8
+
+SILENCE_SQL = f"""WITH over_ AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events),
+s AS (SELECT * FROM (SELECT time_bucket(INTERVAL 21600 SECOND, ts) AS p, user_id AS k, max(value) AS v FROM events GROUP BY ALL)
+  WHERE p + INTERVAL 21600 SECOND <= (SELECT wm FROM over_)),
+b AS (SELECT *, CASE WHEN lag(p) OVER (PARTITION BY k ORDER BY p) + {DEAD_AFTER} * INTERVAL 21600 SECOND < p THEN 1 ELSE 0 END AS anew FROM s),
+i AS (SELECT *, sum(anew) OVER (PARTITION BY k ORDER BY p) AS life FROM b),
+l AS (SELECT k, life, min(p) AS lo, least(max(p) + {DEAD_AFTER} * INTERVAL 21600 SECOND,
+  time_bucket(INTERVAL 21600 SECOND, (SELECT wm FROM over_) - INTERVAL 21600 SECOND)) AS hi FROM i GROUP BY ALL),
+g AS (SELECT k, life, unnest(generate_series(lo, hi, INTERVAL 21600 SECOND)) AS p FROM l),
+f AS (SELECT g.*, coalesce(v > {SILENCE.threshold}, true) AS breach FROM g LEFT JOIN s ON s.k = g.k AND s.p = g.p),
+w AS (SELECT k, p, sum(breach::int) OVER (PARTITION BY k, life ORDER BY p ROWS BETWEEN {SILENCE.n - 1} PRECEDING AND CURRENT ROW)::int AS breaches FROM f)
+SELECT k AS user_id, strftime(p, '%Y-%m-%d %H:%M:%S') AS period, breaches, CASE WHEN breaches >= {SILENCE.m} THEN 'ALARM' ELSE 'OK' END AS state FROM w"""
+
+
+@query("lg06_silent_keys_stream", sql=SILENCE_SQL)
+def silent_keys(source: Source):
+    """Alarms of users by timer, also for those of whom nothing comes any more."""
+    folder = new_folder(source.spark, "silence")
+    events = loop.file_stream(source.spark, source.folder, source.table("events").schema, pattern="events.parquet")
+    rows = events.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    with loop.settings(source.spark, {"spark.sql.streaming.stateStore.providerClass": timers.PROVIDER}):
+        states = timers.silent_alarms(rows, SILENCE, "value", "user_id", DEAD_AFTER)
+        loop.run_available(states, loop.write_batches(f"{folder}/states"), f"{folder}/progress")
+    out = source.spark.read.parquet(f"{folder}/states").drop("batch")
+    return out.select("user_id", as_text("period"), "breaches", "state")
+
+
 @query(
     "mb01_incremental_stream",
     ident=True,

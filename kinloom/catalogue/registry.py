@@ -14,7 +14,7 @@ SQL: dict[str, str] = {}
 
 AS_OF = "2024-02-01T00:00:00Z"
 
-_MODULES = ["resolution", "tables", "scalars", "sources_sinks", "matching", "growing", "enrichment", "storekeeping", "observing"]
+_MODULES = ["resolution", "tables", "scalars", "sources_sinks", "matching", "enrichment", "growing", "storekeeping", "observing"]
 
 
 class Source:

@@ -22,7 +22,7 @@ store (``words``); later words count as rarest, which costs speed with time but
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -198,9 +198,12 @@ def resolve_into(
     batch_id: str,
     rule_set: Sequence[Rule] = tuple(rules.DEFAULT_RULES),
     attempts: int = 5,
+    before_commit: Callable[[Resolution], None] = lambda resolution: None,
 ) -> Outcome:
     """Resolves a batch against the latest version and commits what it changes.
 
+    ``before_commit`` may write the result elsewhere, in a way that a repetition replaces.
+
     When another job commits first the batch is resolved again, against what that job left;
     a batch id that the store has taken already changes nothing.
     """
@@ -213,6 +216,7 @@ def resolve_into(
         result = resolve_batch(batch, known.rows.drop("_h"), context, rule_set)
         changed = result.changed.select(key_hash().alias("_h")).distinct()
         after = result.store.withColumn("_h", key_hash()).join(changed, "_h", "left_semi")
+        before_commit(result)
         try:
             written = store.update(known.rows, after, batch_id)
             return Outcome(result, store.version + 1, known.read, written)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import instant, time_parts
 from ..functions.keys import email_hash, record_id
 from ..functions.text import lookup_key
+from ..session import cut_lineage
 
 PARTITIONS = ["year", "month", "day", "hour", "minute", "batch_id"]
 
@@ -24,10 +25,15 @@ def with_run_columns(df: DataFrame, as_of: str, batch_id: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, as_of: str, batch_id: str) -> tuple[str, int]:
-    """Append one run below ``path``; returns its partition path and row count."""
+    """One run below ``path``; returns its partition path and row count.
+
+    A repeated run (same time and batch id) replaces its rows; other runs stay.
+    """
     seen = Observation("write_partitioned")
     out = with_run_columns(df, as_of, batch_id)
-    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*PARTITIONS).parquet(path)
     spark = df.sparkSession
     parts = spark.range(1).select(instant(as_of).alias("t")).select(
         *[c.alias(n) for n, c in time_parts("t").items()]
@@ -48,19 +54,34 @@ def snapshot(df: DataFrame, folder: str | None, number: int, stage: str) -> Data
     return df
 
 
-def append_json(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def _keyed(path: str, run: str) -> str:
+    return f"{path.rstrip('/')}/run={run}"
+
+
+def append_json(df: DataFrame, path: str, run: str) -> None:
+    """Adds the rows of one run as JSON; a repeated run replaces its own rows and no others."""
+    df.write.mode("overwrite").json(_keyed(path, run))
+
+
+def append(df: DataFrame, path: str, run: str, fmt: str = "parquet", **options: str) -> None:
+    """Adds the rows of one run to a table folder, where a repeated run replaces its own rows.
 
+    With ``fmt='jdbc'`` the rows go to a database table that has a ``run`` column for the
+    database to tell repeated rows by; there they are only added.
+    """
+    if fmt == "jdbc":
+        df.withColumn("run", F.lit(run)).write.mode("append").format(fmt).options(**options).save()
+    else:
+        df.write.mode("overwrite").format(fmt).options(**options).save(_keyed(path, run))
 
-def append(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
-    """Append to a table folder or, with ``fmt='jdbc'``, to a database table."""
-    writer = df.write.mode("append").format(fmt).options(**options)
-    writer.save() if fmt == "jdbc" else writer.save(path)
 
+def write_rejects(df: DataFrame, path: str, run: str) -> DataFrame:
+    """Stores the rows of a run that are flagged for deletion; returns the others.
 
-def write_rejects(df: DataFrame, path: str) -> DataFrame:
-    """Store the rows flagged for deletion; returns the others."""
-    df.filter(F.col("delete_flag") == "Y").write.mode("append").parquet(path)
+    The plan runs once: both parts read its checkpoint.
+    """
+    df = cut_lineage(df)
+    append(df.filter(F.col("delete_flag") == "Y"), path, run)
     return df.filter(F.col("delete_flag") != "Y")
 
 

@@ -7,8 +7,8 @@ from kinloom.catalogue import QUERIES, identity
 from kinloom.functions.text import lookup_key
 from kinloom.operators import rules
 
-# Streams run while the frame is built; nothing of them is left in the plan.
-NAMES = sorted(n for n in QUERIES if "stream" not in n)
+# Streams and the loop run while the frame is built; nothing of them is left in the plan.
+NAMES = sorted(n for n in QUERIES if "stream" not in n and "loop" not in n)
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 
 

@@ -8,7 +8,7 @@ from kinloom.operators import logs, rules
 from kinloom.operators.batches import READY
 from kinloom.plans.incremental import read_store, resolving_handler, run_incremental, update_store, write_store
 from kinloom.plans.resolve import resolve_batch
-from kinloom.streaming import loop, observe
+from kinloom.streaming import loop, observe, timers
 
 CONTEXT = rules.RunContext("job", "2024-02-01T00:00:00Z")
 
@@ -137,3 +137,46 @@ def test_late_periods_change_nothing_and_long_gaps_are_filled(spark, tmp_path, m
     got = spark.read.parquet(str(tmp_path / "o")).select(((F.unix_timestamp("period") - start) / 60).cast("int"), "breaches", "state")
     want = {0: 1, 1: 2, 2: 2, 3: 1, 40: 1, 41: 2}
     assert rows(got) == sorted(((t, want.get(t, 0), "ALARM" if want.get(t, 0) >= 2 else "OK") for t in range(42)), key=str)
+
+
+def silent_brute_force(events, alarm, dead_after, watermark, step):
+    """States of (key, second, value) events by walking every key's periods."""
+    values = {}
+    for key, at, value in events:
+        values.setdefault(key, {}).setdefault(at // step * step, []).append(value)
+    out = []
+    for key, found in values.items():
+        last, flags, at = None, [], min(found)
+        while at + step <= watermark:
+            if at in found:
+                if last is not None and at - last > dead_after * step:
+                    flags = []
+                last = at
+            if at - last <= dead_after * step:
+                flags = [*flags, max(found[at]) > alarm.threshold if at in found else alarm.missing_breaches][-alarm.n :]
+                out.append((key, at, sum(flags), "ALARM" if sum(flags) >= alarm.m else "OK"))
+            at += step
+    return sorted(out)
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_silent_keys_alarm_by_timer(spark, tmp_path, files):
+    """A key that falls silent alarms and is forgotten, whether its events come at once or file by file."""
+    step, hour = 600, 3600
+    alarm = logs.Alarm("quiet", "max", ">", 5, m=2, n=3, period="600 seconds", missing_breaches=True)
+    events = [("busy", t, 1.0) for t in range(0, 12 * hour, 300)]
+    events += [("silent", t, 1.0) for t in range(0, hour, 200)] + [("back", t, 9.0) for t in (0, 700, 5 * hour, 5 * hour + 650)]
+    events += [("pause", t, 1.0) for t in (0, 3 * step, 7 * step + 1)]
+    for number in range(files):
+        part = [e for e in events if e[1] * files // (12 * hour) == number]
+        frame = spark.createDataFrame(part, "k string, s long, value double").withColumn("ts", F.timestamp_seconds("s"))
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = loop.file_stream(spark, str(tmp_path / "in"), frame.schema, max_files=1)
+    with loop.settings(spark, {"spark.sql.streaming.stateStore.providerClass": timers.PROVIDER}):
+        states = timers.silent_alarms(stream, alarm, "value", "k", dead_after=4, lateness="0 seconds")
+        query = loop.run_available(states, loop.write_batches(str(tmp_path / "out")), str(tmp_path / "progress"))
+    got = spark.read.parquet(str(tmp_path / "out")).select("k", F.unix_timestamp("period"), "breaches", "state").collect()
+    assert sorted(map(tuple, got)) == silent_brute_force(events, alarm, 4, max(e[1] for e in events), step)
+    quiet = [r for r in sorted(map(tuple, got)) if r[0] == "silent"]
+    assert quiet[-1][1] == hour - step + 4 * step and quiet[-1][3] == "ALARM"
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 3  # the states of dead keys are gone
