@@ -6,6 +6,8 @@ are fractions of the event ids, so the number of stored rows is a share of all r
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..operators import batches, enrich, match, rules
@@ -178,3 +180,20 @@ def claimed_files(source: Source):
         marked(source.spark, folder, names, batches.DONE if ok else batches.FAILED, batch_id)
         ok = not ok
     return FileManifest.latest(source.spark, folder).files().select("file_name", "row_count", "status")
+
+
+def length_ratio(pairs: pa.RecordBatch) -> pa.Array:
+    """The shorter text's length over the longer one's."""
+    a, b = (pc.cast(pc.utf8_length(pairs.column(c)), pa.float64()) for c in ("text", "other_text"))
+    return pc.divide(pc.min_element_wise(a, b), pc.max_element_wise(a, b))
+
+
+RATIO = "round(least(length(b), length(s)) / greatest(length(b), length(s)), 6) AS score"
+
+
+@query("ud04_scored_topk", sql=grown(SQL["sm02_similar_topk"]).replace("round(n / (t - n), 6) AS score", RATIO))
+def scored_topk(source: Source):
+    """Similar texts ranked by a scorer of the caller's."""
+    rows = Growing.rows(source)
+    batch, store = matching.with_text(identity.batch(rows)), matching.with_text(identity.store(rows))
+    return match.similar_topk(batch, store, scorer=length_ratio)

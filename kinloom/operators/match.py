@@ -20,6 +20,7 @@ from ..session import cut_lineage
 from .graph import connected_components
 from .groups import attach, top_per_group
 from .project import mark_original
+from .scorers import Scorer, score_pairs
 
 # ---- exact matching ------------------------------------------------------
 
@@ -224,9 +225,13 @@ def similar_topk(
     record: str = "batch_record_id",
     k: int = 5,
     threshold: float = 0.3,
+    scorer: Scorer | None = None,
 ) -> DataFrame:
     """The ``k`` most similar stored records of each batch record, by exact Jaccard.
 
+    A ``scorer`` of two texts (columns ``text`` and ``other_text``) ranks the pairs at or
+    above the threshold instead; its scores are rounded to six digits.
+
     Every batch record with a text is answered, and every stored record counts by
     itself, ties by the smaller record id.  In between, records with equal texts are one
     text, so a heavily copied text is compared once.  Every pair at or above the
@@ -247,6 +252,10 @@ def similar_topk(
     found = _similar_pairs(sets.filter(~lone), threshold, pairs=True).unionByName(
         _similar_pairs(sets.filter(small), threshold, pairs=False)
     )
+    if scorer is not None:
+        pairs = found.drop("score").join(heads[0], "head").join(heads[1].toDF("other_text", "other"), "other")
+        scored = score_pairs(pairs, scorer, ["text", "other_text"])
+        found = cut_lineage(scored.select("head", "other", F.round("score", 6).alias("score")))
     # The k best records lie among the k best texts, and among the k smallest records of each.
     texts = top_per_group(found, ["head"], [F.col("score").desc(), F.col("other")], k)
     others = heads[1].withColumnRenamed("head", "other").join(named[1], "text")
@@ -355,7 +364,11 @@ def _rule_keys(number: int, rule: MatchRule) -> Column:
 
 
 def match_entities(
-    df: DataFrame, record: str = "batch_record_id", rules: Sequence[MatchRule] = tuple(MATCH_RULES)
+    df: DataFrame,
+    record: str = "batch_record_id",
+    rules: Sequence[MatchRule] = tuple(MATCH_RULES),
+    scorer: Scorer | None = None,
+    least: float = 0.5,
 ) -> DataFrame:
     """Adds ``MatchID`` (smallest record of the entity, null when alone) and
     ``ConfidenceLevel`` (that of the best rule under which the record has company).
@@ -363,6 +376,10 @@ def match_entities(
     Records with equal evidence collapse to one profile first.  Each rule turns
     into keys, and each key links its profiles to the smallest one: linear in the
     data, with no pairs formed and none left out.
+
+    A ``scorer`` may refuse links: it sees the evidence of both ends (``name``, ``email``, ...
+    and ``other_name``, ...) of every link of a profile to the smallest one of a key, and
+    links below ``least`` are dropped.  The links offered stay linear in the data.
     """
     parts = evidence(df)
     names = list(parts)
@@ -383,10 +400,13 @@ def match_entities(
         .filter("records > 1")
         .drop("records")
     )
+    offered = keyed.join(groups, "key")
+    if scorer is not None:
+        offered = _accepted(offered, profiles.select("head", *names), names, scorer, least)
     # One narrow row per profile with company; its links number at most its keys.
     # Components, confidence and the result all start from it.
     linked = cut_lineage(
-        keyed.join(groups, "key")
+        offered
         .groupBy("_profile", "head")
         .agg(F.max("confidence").alias("ConfidenceLevel"), F.collect_set("first").alias("links"))
     )
@@ -399,6 +419,22 @@ def match_entities(
     return kept.join(result, "_profile", "left").drop("_profile")
 
 
+def _accepted(offered: DataFrame, profiles: DataFrame, names: Sequence[str], scorer: Scorer, least: float) -> DataFrame:
+    """The offers whose link the scorer takes, with the offers of the ends that still have company."""
+    other = profiles.toDF("first", *[f"other_{n}" for n in names])
+    pairs = offered.filter("head <> first").select("head", "first").distinct()
+    pairs = pairs.join(profiles, "head").join(other, "first")
+    scored = score_pairs(pairs, scorer, [*names, *other.columns[1:]], "_score")
+    taken = cut_lineage(scored.filter(F.col("_score") >= F.lit(least)).select("head", "first"))
+    links = offered.join(taken, ["head", "first"], "left_semi")
+    # A key's smallest profile keeps company if a link to it was taken or it stands for several records.
+    kept = taken.select(F.col("first").alias("head")).distinct()
+    heads = offered.filter("head = first").join(kept.withColumn("_met", F.lit(True)), "head", "left")
+    heads = heads.filter(F.col("_met") | (F.col("copies") > 1)).drop("_met")
+    alone = offered.filter("copies > 1 AND head <> first").withColumn("first", F.col("head"))
+    return links.unionByName(heads.select(links.columns)).unionByName(alone.select(links.columns))
+
+
 def match_unless_skipped(df: DataFrame, skip: str = "skip_ml", record: str = "batch_record_id") -> DataFrame:
     """Entity matching for the rows that want it; the others get null columns."""
     wanted = F.coalesce(F.col(skip), F.lit(False))

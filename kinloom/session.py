@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -11,6 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 _local_scratch: dict[str, str] = {}
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def package_for_workers(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package, wherever the session was started.
+
+    On a cluster the package is installed or sent along as usual.
+    """
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if _ROOT not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (known, _ROOT)))
+
+
 def build_session(app_name: str = "kinloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume: UTC, AQE, skew splitting."""
     builder = SparkSession.builder.appName(app_name)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.logs import UNITS, Alarm
+from ..session import package_for_workers
 
 _STATE = "last bigint, own bigint, flags array<boolean>"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -106,6 +107,7 @@ def silent_alarms(
     )
     step = int(pd.Timedelta(alarm.period).total_seconds() * 1000)
     kind = events.schema[key].dataType.simpleString()
+    package_for_workers(events.sparkSession)
     states = judged.groupBy(key).transformWithStateInPandas(
         SilentKeys(key, step, alarm, dead_after),
         outputStructType=f"{key} {kind}, at bigint, breaches int, state string",
