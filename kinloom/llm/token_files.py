@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,10 +46,10 @@ from .bpe import _assigned, byte_alphabet
 from .common import give_back, holds, map_arrow, written
 
 GROUP_TOKENS = 1 << 21
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 CHECKPOINT_STEPS = 128
-LANES = 1024
-SCALE = 20  # frequencies of a table add up to 2 ** SCALE
+LANES = 4096
+SCALE, FINER = 16, 3  # frequencies add up to 2 ** SCALE, or so many bits more than the ids of a table need
 LOW = 31  # states stay in [2 ** LOW, 2 ** (LOW + 32))
 STRETCH = 1 << 16  # characters that are encoded at a time
 _HEAD = struct.Struct("<4sIIIIII")  # magic, lanes, ids, words, checkpoints, crc of ids, crc of what follows
@@ -104,6 +106,7 @@ class Tokens:
         self.library.no_truncation()
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.code = "H" if size <= 1 << 16 else "I"  # the same in an array of the standard library
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.merger = _ranked(path)
 
@@ -111,9 +114,16 @@ class Tokens:
         """All ids of a whole text as little-endian integers; null is empty."""
         if not text:
             return b""
-        if self.merger is None or any(s in text for s in self.special) or not _assigned("".join(set(text))):
+        if self.merger is None or any(s in text for s in self.special) or not self._known(text):
             return b"".join(map(self._whole, self._stretches(text)))
-        return np.array(self.merger.encode_ordinary(text), self.dtype).tobytes()
+        ids = array(self.code, self.merger.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _known(self, text: str) -> bool:
+        # Printable text holds assigned characters only; most texts are, but for line breaks.
+        return text.replace("\n", "").isprintable() or _assigned("".join(set(text)))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -139,11 +149,13 @@ holds(tokenizer.cache_clear)
 
 
 class Table:
-    """Symbols and frequencies that add up to 2 ** SCALE."""
+    """Symbols and frequencies that add up to a power of two, 2 ** scale."""
 
     def __init__(self, symbols: np.ndarray, frequencies: np.ndarray):
         self.symbols, self.frequencies = symbols.astype(np.int64), frequencies.astype(np.uint64)
-        if int(self.frequencies.sum()) != 1 << SCALE or len(symbols) != len(frequencies):
+        whole = int(self.frequencies.sum())
+        self.scale = whole.bit_length() - 1
+        if whole != 1 << self.scale or not SCALE <= self.scale < LOW or len(symbols) != len(frequencies):
             raise ValueError("damaged frequency table")
         self.starts = np.concatenate(([0], np.cumsum(self.frequencies)[:-1])).astype(np.uint64)
 
@@ -152,9 +164,7 @@ class Table:
         """From all ids; every id that occurs gets one part of the scale at least."""
         counts = np.bincount(ids)
         symbols = np.flatnonzero(counts)
-        if len(symbols) > 1 << (SCALE - 1):
-            raise ValueError("more distinct ids than a table can hold")
-        whole = 1 << SCALE
+        whole = 1 << max(SCALE, len(symbols).bit_length() + FINER)
         scaled = np.maximum(counts[symbols] * (whole / len(ids)), 1).astype(np.int64)
         order = np.argsort(-scaled, kind="stable")
         missing = whole - int(scaled.sum())
@@ -167,34 +177,35 @@ class Table:
             at += 1
         return cls(symbols, scaled)
 
-    def encoder(self) -> tuple[np.ndarray, np.ndarray]:
-        """Frequency and start by id."""
+    def encoder(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """Scale; frequency and start by id."""
         size = int(self.symbols[-1]) + 1
         frequency, start = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
         frequency[self.symbols], start[self.symbols] = self.frequencies, self.starts
-        return frequency, start
+        return self.scale, frequency, start
 
-    def decoder(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Place among the symbols by slot of the scale; symbols, frequencies and starts by place."""
-        places = np.repeat(np.arange(len(self.symbols), dtype=np.int32), self.frequencies.astype(np.int64))
-        return places, self.symbols, self.frequencies, self.starts
+    def decoder(self) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scale; place among the symbols by slot of the scale; symbols, frequencies and starts by place."""
+        kind = np.uint16 if len(self.symbols) <= 1 << 16 else np.uint32
+        places = np.repeat(np.arange(len(self.symbols), dtype=kind), self.frequencies.astype(np.int64))
+        return self.scale, places, self.symbols, self.frequencies, self.starts
 
 
-_SHIFT, _WORD, _SCALE = np.uint64(32), np.uint64(0xFFFFFFFF), np.uint64(SCALE)
-_ROOM, _MASK, _LOWEST = np.uint64(LOW + 32 - SCALE), np.uint64((1 << SCALE) - 1), np.uint64(1 << LOW)
+_SHIFT, _WORD, _LOWEST = np.uint64(32), np.uint64(0xFFFFFFFF), np.uint64(1 << LOW)
 
 
-def encode_block(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray], lanes: int = LANES, every: int = CHECKPOINT_STEPS) -> bytes:
+def encode_block(ids: np.ndarray, table: tuple[int, np.ndarray, np.ndarray], lanes: int = LANES, every: int = CHECKPOINT_STEPS) -> bytes:
     """One independent block of one id or more; all of them must be in the table."""
     n = len(ids)
     lanes = max(1, min(lanes, n >> 4))
-    frequency, start = table[0][ids], table[1][ids]
+    scale, room = np.uint64(table[0]), np.uint64(LOW + 32 - table[0])
+    frequency, start = table[1][ids], table[2][ids]
     state = np.full(lanes, _LOWEST, np.uint64)
     chunks, points, sent = [], [], 0
     for step in range((n - 1) // lanes, -1, -1):
         begin, end = step * lanes, min(n, (step + 1) * lanes)
         f, x = frequency[begin:end], state[: end - begin]
-        full = x >= (f << _ROOM)
+        full = x >= (f << room)
         out = x[full]
         if len(out):
             chunks.append((out & _WORD).astype("<u4"))
@@ -202,7 +213,7 @@ def encode_block(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray], lanes: i
             x[full] = out >> _SHIFT
         whole = x // f
         x -= whole * f
-        x += (whole << _SCALE) + start[begin:end]
+        x += (whole << scale) + start[begin:end]
         if step and step % every == 0:
             points.append((step, sent, state.copy()))
     body = bytearray(state.astype("<u8").tobytes())
@@ -221,7 +232,7 @@ def checkpoints(block: bytes) -> list[int]:
     return [0, *(struct.unpack_from("<I", block, at + i * (8 + 8 * lanes))[0] * lanes for i in range(points))]
 
 
-def decode_block(block: bytes, table: tuple[np.ndarray, ...], checkpoint: int = 0) -> np.ndarray:
+def decode_block(block: bytes, table: tuple, checkpoint: int = 0) -> np.ndarray:
     """The ids of a block from its ``checkpoint``-th checkpoint on; damage raises ValueError."""
     if len(block) < _HEAD.size:
         raise ValueError("truncated block")
@@ -236,15 +247,16 @@ def decode_block(block: bytes, table: tuple[np.ndarray, ...], checkpoint: int =
         at += 8
     state = np.frombuffer(block, "<u8", lanes, at).astype(np.uint64)
     words = np.frombuffer(block, "<u4", sent, len(block) - 4 * sent).astype(np.uint64)
-    places, symbols, frequency, start = table
-    found = np.empty(n - step * lanes, np.int32)
+    bits, places, symbols, frequency, start = table
+    scale, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+    found = np.empty(n - step * lanes, places.dtype)
     for begin in range(0, len(found), lanes):
         end = min(len(found), begin + lanes)
         x = state[: end - begin]
-        slot = x & _MASK
+        slot = x & mask
         place = places[slot]
         found[begin:end] = place
-        x >>= _SCALE
+        x >>= scale
         x *= frequency[place]
         x += slot - start[place]
         empty = x < _LOWEST
