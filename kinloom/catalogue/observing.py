@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import logs, rules
 from ..session import new_folder
-from ..streaming import loop, observe, timers
+from ..streaming import loop, observe, requests, timers
 from . import identity
 from .registry import Source, query
 from .resolution import CONTEXT, MINTED_CTE
@@ -196,6 +196,37 @@ def silent_keys(source: Source):
     return out.select("user_id", as_text("period"), "breaches", "state")
 
 
+# Clicks are requests; three in four get a result, 0 to 900 seconds later.
+REQUESTED_SQL = """WITH q AS (SELECT event_id, ts AS asked FROM events WHERE event_type = 'click'),
+r AS (SELECT event_id, ts + to_seconds(event_id % 10 * 100) AS answered FROM events WHERE event_type = 'click' AND event_id % 4 <> 0),
+w AS (SELECT least((SELECT max(asked) FROM q), (SELECT max(answered) FROM r)) - INTERVAL 10 MINUTE AS wm),
+j AS (SELECT q.event_id, asked, answered FROM q LEFT JOIN r ON r.event_id = q.event_id AND answered <= asked + INTERVAL 600 SECOND),
+s AS (SELECT strftime(asked, '%Y-%m-%d') AS batch_id,
+  CASE WHEN answered IS NULL THEN 'unanswered' WHEN answered <= asked + INTERVAL 300 SECOND THEN 'answered' ELSE 'late' END AS status
+  FROM j WHERE answered IS NOT NULL OR asked + INTERVAL 600 SECOND < (SELECT wm FROM w))
+SELECT batch_id, count(*) FILTER (status = 'answered') AS answered, count(*) FILTER (status = 'late') AS late,
+  count(*) FILTER (status = 'unanswered') AS unanswered,
+  CASE WHEN count(*) FILTER (status = 'unanswered') = 0 THEN 'DONE' ELSE 'INCOMPLETE' END AS "STATUS" FROM s GROUP BY 1"""
+
+
+@query("en02_requested_stream", sql=REQUESTED_SQL)
+def requested_stream(source: Source):
+    """Requests and results as streams that meet; one control row per day of requests."""
+    folder = new_folder(source.spark, "requests")
+
+    def clicks():
+        schema = source.table("events").schema
+        events = loop.file_stream(source.spark, source.folder, schema, pattern="events.parquet").filter("event_type = 'click'")
+        return events.select("event_id", F.col("ts").cast("timestamp").alias("asked_at"))
+
+    delay = F.make_dt_interval(secs=(F.col("event_id") % 10 * 100).cast("decimal(18,6)"))
+    results = clicks().filter("event_id % 4 <> 0").select("event_id", (F.col("asked_at") + delay).alias("answered_at"))
+    joined = requests.with_results(clicks(), results, "event_id", grace="600 seconds")
+    loop.run_available(joined, loop.write_batches(f"{folder}/rows"), f"{folder}/progress")
+    rows = source.spark.read.parquet(f"{folder}/rows").withColumn("batch_id", F.date_format("asked_at", "yyyy-MM-dd"))
+    return requests.control(rows, "batch_id")
+
+
 @query(
     "mb01_incremental_stream",
     ident=True,

@@ -8,7 +8,7 @@ from kinloom.operators import logs, rules
 from kinloom.operators.batches import READY
 from kinloom.plans.incremental import read_store, resolving_handler, run_incremental, update_store, write_store
 from kinloom.plans.resolve import resolve_batch
-from kinloom.streaming import loop, observe, timers
+from kinloom.streaming import loop, observe, requests, timers
 
 CONTEXT = rules.RunContext("job", "2024-02-01T00:00:00Z")
 
@@ -180,3 +180,28 @@ def test_silent_keys_alarm_by_timer(spark, tmp_path, files):
     quiet = [r for r in sorted(map(tuple, got)) if r[0] == "silent"]
     assert quiet[-1][1] == hour - step + 4 * step and quiet[-1][3] == "ALARM"
     assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 3  # the states of dead keys are gone
+
+
+EPOCH = 1_000_000  # a stream takes times up to its first watermark, 1970, for late
+
+
+def test_requests_wait_for_their_results(spark, tmp_path):
+    """Results in time, late, too late, early, repeated, unknown and missing, over several files."""
+    asked = [("a", 0), ("b", 0), ("c", 10), ("d", 20), ("e", 30), (None, 40), ("f", 100_000)]
+    answered = [("a", 300), ("b", 301), ("c", 700), ("d", 5), ("e", 60), ("e", 400), ("ghost", 50), (None, 60), ("z", 100_001)]
+    for name, rows, at in (("q", asked, "asked_at"), ("r", answered, "answered_at")):
+        frame = spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds(F.col("s") + EPOCH).alias(at))
+        for part in (frame.filter(F.unix_timestamp(at) < EPOCH + 350), frame.filter(F.unix_timestamp(at) >= EPOCH + 350)):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    left, right = (loop.file_stream(spark, str(tmp_path / n), f"k string, {c} timestamp", max_files=1) for n, c in (("q", "asked_at"), ("r", "answered_at")))
+    joined = requests.with_results(left, right, "k", grace="600 seconds", lateness="0 seconds")
+    query = loop.run_available(joined, loop.write_batches(str(tmp_path / "out")), str(tmp_path / "progress"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(got) == sorted([("a", 300, "answered"), ("b", 301, "late"), ("c", None, "unanswered"), ("d", None, "unanswered"), ("e", 60, "answered"), ("e", 400, "late"), (None, None, "unanswered")], key=str)
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 2  # what can still meet, and nothing older
+    found = requests.control(got.withColumn("batch", F.lit("x")), "batch").first()
+    assert (found.answered, found.late, found.unanswered, found.STATUS) == (2, 2, 3, "INCOMPLETE")
+
+
+def rows_of(joined):
+    return sorted(((r.k, r.s, r.status) for r in joined.select("k", (F.unix_timestamp("answered_at") - EPOCH).alias("s"), "status").collect()), key=str)
