@@ -286,6 +286,17 @@ def split_groups(source: Source):
     return graph.split_groups(filled.join(labels, "candidate_uxid"), "candidate_uxid", "component")
 
 
+@query(
+    "jn08_split_guests",
+    ident=True,
+    sql="""SELECT rules_guest_id, count(DISTINCT uxid) AS n_components FROM ident
+WHERE rules_guest_id IS NOT NULL GROUP BY rules_guest_id HAVING count(DISTINCT uxid) > 1""",
+)
+def split_guests(source: Source):
+    """Guest ids whose rows hold several ids: before the rules, so there are some."""
+    return graph.split_groups(source.ident(), "rules_guest_id", "uxid")
+
+
 @query(
     "ag10_missing_values",
     ident=True,
