@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested
 from ..operators import store
+from ..plans.changelog import LoggedTable
 from ..session import new_folder
 from ..sources import sinks
 from .registry import Source, query
@@ -238,3 +239,27 @@ def backup(source: Source):
     folder = new_folder(source.spark, "backup")
     sinks.snapshot(rows.join(touched.select("batch_record_id"), "batch_record_id", "left_semi"), folder, 0, "backup")
     return source.spark.read.parquet(f"{folder}/00_backup")
+
+
+@query(
+    "up03_logged_changes",
+    sql="""SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderkey % 700 = 3 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 900 <> 5
+UNION ALL SELECT o_orderkey + 1000000000, 'NEW', 'N' FROM orders WHERE o_orderkey % 500 = 2""",
+)
+def logged_changes(source: Source):
+    """Nullified values, replaced values, deletions and new rows as deltas; half of them compacted in between."""
+    base = source.table("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    folder = new_folder(source.spark, "orders-log")
+    LoggedTable.create(base, ["o_orderkey"], folder, max_rows=2_000)
+    key = F.col("o_orderkey")
+    nullified = base.filter(key % 1000 == 1).withColumn("o_orderpriority", F.lit(None).cast("string"))
+    LoggedTable.latest(source.spark, folder).change(nullified, None, "nullify")
+    fresh = base.filter(key % 500 == 2).select((key + 1_000_000_000).alias("o_orderkey"), F.lit("NEW").alias("o_orderpriority"), F.lit("N").alias("o_orderstatus"))
+    LoggedTable.latest(source.spark, folder).change(fresh, base.filter(key % 900 == 5), "delete")
+    LoggedTable.latest(source.spark, folder).compact("compact", least=2)
+    # The values to replace are those in the table, as the first change left them.
+    table = LoggedTable.latest(source.spark, folder)
+    replaced = table.lookup(base.filter(key % 700 == 3)).filter(key < 1_000_000_000).withColumn("o_orderstatus", F.lit("X"))
+    table.change(replaced, None, "replace")
+    return LoggedTable.latest(source.spark, folder).rows()

@@ -134,6 +134,10 @@ class BucketStore:
         frame = rest.unionByName(added, allowMissingColumns=True)
         return write_buckets(frame, h, grown, names, self.folder), names
 
+    def write(self, table: str, frame: DataFrame, directory: Directory, names: list[str], h: Column) -> Directory:
+        """Some buckets of ``directory`` as written from whole rows."""
+        return write_buckets(frame.select(*self.schemas[table].names), h, directory, names, self.folder)
+
     def commit(self, tables: dict[str, Directory], batch_id: str, **content) -> None:
         """The next version; raises ``manifest.Conflict`` when another job was first."""
         whole = self.content | content | {"batches": [*self.content["batches"], batch_id], "tables": listed(self.tables | tables)}
