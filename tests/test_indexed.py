@@ -47,7 +47,8 @@ def paths(store, table):
     return {b.name: b.path for b in store.tables[table].buckets.values()}
 
 
-def test_a_small_batch_touches_only_its_buckets(spark, tmp_path):
+def test_a_small_batch_touches_only_its_buckets(spark, tmp_path, monkeypatch):
+    cheap(monkeypatch)
     store = IndexedStore.create(people(spark, 0, 2000), str(tmp_path / "s"), max_rows=16)
     assert len(store.tables["rows"].buckets) >= 128 and len(store.tables["index"].buckets) >= 256
     batch = people(spark, 100, 120).withColumn("ml_last_name", F.lit("Changed")).withColumn("record_last_updated_timestamp", F.lit("2024-02-01T00:00:00.000Z"))
