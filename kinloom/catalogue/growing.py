@@ -6,11 +6,14 @@ are fractions of the event ids, so the number of stored rows is a share of all r
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ..operators import batches, enrich, match, rules
+from ..operators import batches, enrich, linkage, match, rules
+from ..operators.linkage import FieldWeight, Model
 from ..plans.components import ComponentStore, add_edges
 from ..plans.indexed import IndexedStore, resolve_into
 from ..plans.loop import FileManifest, claim, marked, run_loop
@@ -197,3 +200,93 @@ def scored_topk(source: Source):
     rows = Growing.rows(source)
     batch, store = matching.with_text(identity.batch(rows)), matching.with_text(identity.store(rows))
     return match.similar_topk(batch, store, scorer=length_ratio)
+
+
+# ---- scored entities -----------------------------------------------------
+
+# Weights in bits; no single field reaches the threshold of 0.9.
+PERSON_MODEL = Model(
+    [
+        FieldWeight("first", 5.0, -2.0),
+        FieldWeight("last", 6.0, -2.0),
+        FieldWeight("birth", 8.0, -4.0),
+        FieldWeight("email", 10.0, -1.0),
+        FieldWeight("phone", 9.0, -1.5),
+        FieldWeight("postcode", 4.0, -1.0),
+    ],
+    prior=-12.0,
+)
+_FIELD_SQL = {
+    "first": "nullif(lower(trim(ml_first_name)), '')",
+    "last": "nullif(lower(trim(ml_last_name)), '')",
+    "birth": "nullif(lower(trim(ml_birth_date)), '')",
+    "email": "nullif(lower(trim(ml_email_address)), '')",
+    "phone": "nullif(regexp_replace(ml_phone, '\\D', '', 'g'), '')",
+    "postcode": "nullif(lower(trim(ml_postal_code)), '')",
+}
+_PARTS_SQL = f"parts AS (SELECT batch_record_id AS r, {', '.join(f'{c} AS {n}' for n, c in _FIELD_SQL.items())} FROM ident)"
+
+
+def _scored_sql(model: Model) -> str:
+    """Pairs of profiles that agree on two fields or more, scored one by one; components of the links."""
+    names = ", ".join(model.fields)
+    meets = " UNION ".join(
+        f"SELECT a.head AS x, b.head AS y FROM prof a JOIN prof b ON a.{f} = b.{f} AND a.{g} = b.{g} AND a.head < b.head"
+        for f, g in combinations(model.fields, 2)
+    )
+    marks = " + ".join(
+        f"CASE WHEN a.{w.field} = b.{w.field} THEN {w.agree}::double WHEN a.{w.field} <> b.{w.field} THEN {w.differ}::double ELSE 0 END"
+        for w in model.weights
+    )
+    return f"""WITH RECURSIVE ident AS ({GROWING_SQL}), {_PARTS_SQL},
+prof AS (SELECT min(r) AS head, count(*) AS copies, {names} FROM parts GROUP BY {names}),
+meets AS ({meets} UNION SELECT head, head FROM prof WHERE copies > 1),
+scored AS (SELECT x, y, {model.prior}::double + {marks} AS score FROM meets JOIN prof a ON a.head = x JOIN prof b ON b.head = y),
+links AS (SELECT x, y, score FROM scored WHERE score >= log2(9) - 1e-9),
+ways AS (SELECT x, y, score FROM links UNION SELECT y, x, score FROM links),
+reach(id, label) AS (SELECT x, x FROM ways UNION SELECT ways.y, reach.label FROM reach JOIN ways ON ways.x = reach.id),
+labels AS (SELECT id, min(label) AS match_id FROM reach GROUP BY id),
+best AS (SELECT x, round(1 / (1 + pow(2, -max(score))), 6) AS confidence FROM ways GROUP BY x)
+SELECT r AS batch_record_id, match_id AS "MatchID", confidence AS "ConfidenceLevel"
+FROM parts JOIN prof ON {" AND ".join(f"parts.{n} IS NOT DISTINCT FROM prof.{n}" for n in model.fields)}
+LEFT JOIN labels ON id = head LEFT JOIN best ON x = head"""
+
+
+@query("er01_scored_entities", sql=_scored_sql(PERSON_MODEL))
+def scored_entities(source: Source):
+    """Entities by match weights: every pair at or above 0.9 is a link, none is formed."""
+    linked = linkage.link_records(Growing.rows(source), PERSON_MODEL)
+    return linked.select("batch_record_id", "MatchID", "ConfidenceLevel")
+
+
+def _patterns_sql() -> str:
+    """All pairs from the pairs of groups that agree on each set of fields, by inclusion and exclusion."""
+    names = list(_FIELD_SQL)
+    bits = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE {1 << i} END" for i, n in enumerate(names))
+    held = " + ".join(f"(1 - grouping({n})) * {1 << i}" for i, n in enumerate(names))
+    same = " AND ".join(f"x.{n} IS NOT DISTINCT FROM y.{n}" for n in names)
+    marks = ", ".join(
+        f"CASE WHEN a & {1 << i} > 0 THEN 'a' WHEN both_have & {1 << i} > 0 THEN 'd' ELSE '-' END" for i in range(len(names))
+    )
+    return f"""WITH ident AS ({GROWING_SQL}), {_PARTS_SQL},
+masked AS (SELECT *, {bits} AS mask FROM parts),
+cubed AS (SELECT {held} AS s, mask, {", ".join(names)}, count(*) AS c FROM masked GROUP BY mask, CUBE ({", ".join(names)})),
+groups AS (SELECT * FROM cubed WHERE s & mask = s),
+sums AS (SELECT x.s AS s, x.mask & y.mask AS both_have, sum(CASE WHEN x.mask = y.mask THEN x.c * (x.c - 1) // 2 ELSE x.c * y.c END) AS n
+  FROM groups x JOIN groups y ON x.s = y.s AND x.mask <= y.mask AND {same} GROUP BY 1, 2),
+exact AS (SELECT a, both_have, sum(CASE WHEN bit_count(s::int - a::int) % 2 = 0 THEN n ELSE -n END)::bigint AS pairs
+  FROM sums JOIN range({1 << len(names)}) t(a) ON a & s = a GROUP BY 1, 2)
+SELECT concat({marks}) AS pattern, pairs FROM exact WHERE pairs > 0"""
+
+
+@query("er01_pattern_counts", sql=_patterns_sql())
+def pattern_counts(source: Source):
+    """How all pairs of records compare, field by field."""
+    return linkage.pattern_counts(Growing.rows(source))
+
+
+@query("er01_learnt_entities")
+def learnt_entities(source: Source):
+    """Entities by weights learnt from all pairs of the rows."""
+    rows = Growing.rows(source)
+    return linkage.link_records(rows, linkage.learn(rows)).select("batch_record_id", "MatchID", "ConfidenceLevel")
