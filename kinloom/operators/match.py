@@ -142,6 +142,10 @@ def route_exact(matched: DataFrame) -> dict[str, DataFrame]:
 
 # Float guard for products such as 0.07 * 100.
 _EPS = 1e-9
+_SEP = "\u0001"
+# Meetings of a signature beyond which it takes in one more word, and the most words it takes.
+HOT_MEETINGS = 100_000
+_MOST_WORDS = 4
 
 
 def _shared_words(size: Column, threshold: float) -> Column:
@@ -170,47 +174,68 @@ def _token_sets(texts: DataFrame, frequency: DataFrame | None = None) -> DataFra
     )
 
 
-def _signatures(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
-    """One row per signature of a text.
+def _prefix(threshold: float, words: int) -> Column:
+    """The rarest words of a text among which it meets any similar text ``words`` times.
 
-    Texts at or above the threshold share at least ``ceil(t * n)`` of ``n``
-    tokens.  Dropping all but one of that many of the most frequent tokens leaves
-    a prefix in which similar texts must meet; keeping one more, they must meet
-    twice, so pairs of prefix tokens serve as signatures.  A word common to a
-    third of all texts then never forms a group by itself.
+    Texts at or above the threshold share at least ``ceil(t * n)`` of ``n`` words.  All but one
+    of that many of the most frequent words can be dropped and similar texts still meet in the
+    rest; for every further meeting one more is kept.  Where only the partner's length asks for
+    ``words`` shared words, the whole text stays.
     """
-    need = _shared_words(F.size("tokens"), threshold)
-    prefix = F.slice("tokens", F.lit(1), F.size("tokens") - need + (2 if pairs else 1))
-    if not pairs:
-        return sets.select("*", F.posexplode(prefix).alias("_i", "signature")).withColumn("at", F.col("_i") + 1)
-    first = sets.select("*", prefix.alias("_p")).select("*", F.posexplode("_p").alias("_i", "_a"))
+    need = F.greatest(_shared_words(F.size("tokens"), threshold), F.lit(words))
+    return F.slice("tokens", F.lit(1), F.size("tokens") - need + words)
+
+
+def _single_signatures(sets: DataFrame, threshold: float) -> DataFrame:
+    """One row per word of a text's prefix."""
+    return sets.select("*", F.posexplode(_prefix(threshold, 1)).alias("_i", "signature")).select(
+        *sets.columns, "signature", (F.col("_i") + 1).alias("at")
+    )
+
+
+def _pair_signatures(sets: DataFrame, threshold: float) -> DataFrame:
+    """One row per pair of words of a text's prefix."""
+    first = sets.select("*", _prefix(threshold, 2).alias("_p")).select("*", F.posexplode("_p").alias("_i", "_a"))
     rest = F.slice("_p", F.col("_i") + 2, F.size("_p"))
     return first.select("*", F.posexplode(rest).alias("_j", "_b")).select(
         *sets.columns,
-        F.concat_ws("\u0001", "_a", "_b").alias("signature"),
+        F.concat_ws(_SEP, "_a", "_b").alias("signature"),
         (F.col("_i") + F.col("_j") + 2).alias("at"),
     )
 
 
-def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
-    keyed = _signatures(sets, threshold, pairs).withColumn("n", F.size("tokens"))
-    left = keyed.filter("side = 'batch'").select(
+def _extended(keyed: DataFrame, threshold: float, words: int) -> DataFrame:
+    """Signatures of ``words`` words from those of one less: one row per further word of the longer prefix."""
+    kept = [c for c in keyed.columns if c not in ("signature", "at")]
+    rest = F.slice("_p", F.col("at") + 1, F.size("_p"))
+    longer = keyed.filter(F.size("tokens") >= words).withColumn("_p", _prefix(threshold, words))
+    return longer.select(*kept, "signature", "at", F.posexplode(rest).alias("_j", "_w")).select(
+        *kept, F.concat_ws(_SEP, "signature", "_w").alias("signature"), (F.col("at") + F.col("_j") + 1).alias("at")
+    )
+
+
+def _met(keyed: DataFrame, threshold: float, words: int) -> DataFrame:
+    """(head, other, score) of the similar pairs whose first ``words`` shared words are a signature."""
+    sized = keyed.withColumn("n", F.size("tokens"))
+    left = sized.filter("side = 'batch'").select(
         "signature", "head", F.col("tokens").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax")
     )
-    right = keyed.filter("side = 'store'").select(
+    right = sized.filter("side = 'store'").select(
         "signature", F.col("head").alias("other"), F.col("tokens").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay")
     )
     # A pair meets under several signatures and counts under the first one only;
     # then all other shared words stand behind the signature in both texts, which
     # rules most meetings out by arithmetic alone.
     joined = left.join(right, "signature")
-    possible = (2 if pairs else 1) + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    possible = words + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
     wanted = (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)
     joined = joined.filter(possible >= wanted)
-    if not pairs:
+    if words == 1:
         joined = joined.filter(_shared_words(F.least("nx", "ny"), threshold) < 2)
+    if words > 2:
+        joined = joined.filter(_shared_words(F.greatest("nx", "ny"), threshold) >= words)
     shared = joined.withColumn("_both", F.array_intersect("x", "y"))
-    lead = F.concat_ws("\u0001", F.slice("_both", 1, 2)) if pairs else F.get("_both", F.lit(0))
+    lead = F.concat_ws(_SEP, F.slice("_both", 1, words))
     common = F.size("_both")
     union = F.col("nx") + F.col("ny") - common
     return shared.filter((lead == F.col("signature")) & (common >= union * F.lit(threshold) - F.lit(_EPS))).select(
@@ -218,6 +243,26 @@ def _similar_pairs(sets: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     )
 
 
+def _met_by_length(keyed: DataFrame, threshold: float, words: int, hot: int) -> DataFrame:
+    """``_met``, where signatures with more than ``hot`` meetings take in one more word, up to ``_MOST_WORDS``.
+
+    A pair under a hot signature that must share a further word meets under the longer signature
+    of its first words; only texts so short that neither asks for one meet under the hot one.
+    """
+    if words == _MOST_WORDS:
+        return _met(keyed, threshold, words)
+    sides = [F.count_if(F.col("side") == side).cast("double") for side in ("batch", "store")]
+    lists = keyed.groupBy("signature").agg((sides[0] * sides[1]).alias("meetings"))
+    long = cut_lineage(lists.filter(F.col("meetings") > hot).select("signature"))
+    if long.isEmpty():
+        return _met(keyed, threshold, words)
+    usual = _met(keyed.join(long, "signature", "left_anti"), threshold, words)
+    split = keyed.join(long, "signature", "left_semi")
+    short = _met(split.filter(_shared_words(F.size("tokens"), threshold) <= words), threshold, words)
+    longer = cut_lineage(_extended(split, threshold, words + 1))
+    return usual.unionByName(short).unionByName(_met_by_length(longer, threshold, words + 1, hot))
+
+
 def similar_topk(
     batch: DataFrame,
     store: DataFrame,
@@ -226,6 +271,7 @@ def similar_topk(
     k: int = 5,
     threshold: float = 0.3,
     scorer: Scorer | None = None,
+    hot: int = HOT_MEETINGS,
 ) -> DataFrame:
     """The ``k`` most similar stored records of each batch record, by exact Jaccard.
 
@@ -236,7 +282,8 @@ def similar_topk(
     itself, ties by the smaller record id.  In between, records with equal texts are one
     text, so a heavily copied text is compared once.  Every pair at or above the
     threshold is found: texts that must share two words meet under pairs of words, the
-    few so short that one word may do meet under single words.
+    few so short that one word may do meet under single words.  A pair of words under which
+    more than ``hot`` pairs of texts would meet is extended by a third and a fourth word.
     """
     named = [
         df.filter(F.trim(text) != "").select(F.col(text).alias("text"), F.col(record).alias("record"))
@@ -249,8 +296,8 @@ def similar_topk(
     lone = _shared_words(F.size("tokens"), threshold) < 2
     # A partner of a one-word text has at most 1 / t times its words.
     small = F.size("tokens") * F.lit(threshold * threshold) <= F.lit(1 + _EPS)
-    found = _similar_pairs(sets.filter(~lone), threshold, pairs=True).unionByName(
-        _similar_pairs(sets.filter(small), threshold, pairs=False)
+    found = _met_by_length(_pair_signatures(sets.filter(~lone), threshold), threshold, 2, hot).unionByName(
+        _met(_single_signatures(sets.filter(small), threshold), threshold, 1)
     )
     if scorer is not None:
         pairs = found.drop("score").join(heads[0], "head").join(heads[1].toDF("other_text", "other"), "other")

@@ -71,7 +71,7 @@ def _signed(rows: DataFrame, head: str, frequency: DataFrame) -> DataFrame:
     small = F.size("tokens") * F.lit(THRESHOLD * THRESHOLD) <= F.lit(1 + match._EPS)
     found = []
     for some, pairs in ((sets.filter(~lone), True), (sets.filter(small), False)):
-        signed = match._signatures(some, THRESHOLD, pairs)
+        signed = (match._pair_signatures if pairs else match._single_signatures)(some, THRESHOLD)
         v = F.xxhash64(F.lit("pair" if pairs else "word"), F.col("signature"))
         found.append(signed.select("head", v.alias("v"), F.size("tokens").alias("n"), F.col("at").cast("int").alias("at"), F.lit(pairs).alias("pairs")))
     return found[0].unionByName(found[1])
