@@ -54,3 +54,35 @@ def test_a_hot_pair_of_words_is_not_paired_whole(spark):
     split = keyed.filter(keyed.signature == "p\u0001q")
     longer = match._extended(split, 0.6, 3)
     assert longer.groupBy("signature").count().agg({"count": "max"}).first()[0] <= 8
+
+
+@pytest.mark.parametrize(("hot", "k"), [(0, 1), (0, 3), (20, 2)])
+def test_the_best_under_hot_signatures(hot, k, spark):
+    """Short lists of the best few per signature answer like every pair, ties included."""
+    rng = random.Random(5)
+
+    def people(first, size):
+        common = ["main", "st", "apt", "1", "m2", "town"]
+        return [(first + i, " ".join([f"u{rng.randrange(6)}", *rng.sample(common, rng.randrange(7))])) for i in range(size)]
+
+    batch, store = people(0, 90), people(1000, 110)
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (batch, store)]
+    found = [tuple(r) for r in match.similar_topk(*frames, k=k, hot=hot).collect()]
+    assert len(found) == len(set(found)) and set(found) == brute(batch, store, 0.3, k)
+
+
+@pytest.mark.parametrize("rest", [0, 2])
+def test_texts_with_many_words_behind_a_long_signature(rest, spark, monkeypatch):
+    monkeypatch.setattr(match, "_MOST_REST", rest)
+    batch, store = texts(3, 0, 50), texts(4, 1000, 50)
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (batch, store)]
+    found = [tuple(r) for r in match.similar_topk(*frames, k=2, hot=0).collect()]
+    assert len(found) == len(set(found)) and set(found) == brute(batch, store, 0.3, 2)
+
+
+def test_short_texts_under_hot_words_do_not_all_meet(spark):
+    """Texts that share just two frequent words: each meets a few of them, not all."""
+    rows = [("batch" if i % 2 else "store", i, [f"a{i}", "main", "st"]) for i in range(400)]
+    sets = spark.createDataFrame(rows, "side string, head long, tokens array<string>")
+    found = match._met_by_length(match._pair_signatures(sets, 0.3), 0.3, 2, 100, 5)
+    assert found.count() == 200 * 5
