@@ -10,7 +10,6 @@ Every version stays readable; rolling back commits an old version's content as t
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 from ..operators.groups import top_per_group
 from ..session import cut_lineage
 from . import manifest
-from .buckets import MAX_ROWS, BucketStore
+from .buckets import MAX_ROWS, BucketStore, read_buckets, write_rows
 
 _GONE, _SEQ = "_deleted", "_seq"
 
@@ -46,13 +45,13 @@ class LoggedTable(BucketStore):
 
     def _newest(self, names: Sequence[str]) -> DataFrame | None:
         """The deciding delta row of each changed key of some buckets."""
-        parts: dict[tuple[str, int], list[str]] = {}
+        parts: dict[tuple[str, int], list[tuple[str, str]]] = {}
         for name in names:
             for path, seq in self.deltas.get(name, []):
-                parts.setdefault((path, seq), []).append(f"{path}/bucket={name}")
+                parts.setdefault((path, seq), []).append((path, name))
         out = None
-        for (_, seq), paths in sorted(parts.items(), key=lambda x: x[0][1]):
-            rows = self.spark.read.schema(self._delta_schema()).parquet(*paths).withColumn(_SEQ, F.lit(seq))
+        for (_, seq), found in sorted(parts.items(), key=lambda x: x[0][1]):
+            rows = read_buckets(self.spark, self._delta_schema(), found).withColumn(_SEQ, F.lit(seq))
             out = rows if out is None else out.unionByName(rows)
         return None if out is None else top_per_group(out, self.keys, [F.desc(_SEQ)])
 
@@ -90,14 +89,12 @@ class LoggedTable(BucketStore):
                 gone = gone.join(upserts.select(*self.keys), self.keys, "left_anti")
             parts.append(gone.withColumn(_GONE, F.lit(True)))
         delta = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-        path = f"{self.folder}/delta/{uuid.uuid4().hex}"
         label = self.tables["base"].name_of(_hash(self.keys))
         for field in self.schemas["base"].fields:
             if field.name not in delta.columns:
                 delta = delta.withColumn(field.name, F.lit(None).cast(field.dataType))
-        delta.withColumn("bucket", label).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-        schema = T.StructType([*self._delta_schema().fields, T.StructField("bucket", T.StringType())])
-        touched = sorted(r.bucket for r in self.spark.read.schema(schema).parquet(path).select("bucket").distinct().collect())
+        path, counts = write_rows(delta, label, f"{self.folder}/delta", len(self.tables["base"].buckets), self.max_rows)
+        touched = sorted(counts)
         seq = self.content["seq"] + 1
         deltas = dict(self.deltas)
         for name in touched:

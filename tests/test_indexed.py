@@ -101,6 +101,29 @@ def test_directory_covers_every_hash_once(spark):
         assert name in directory.buckets and value & ((1 << depth) - 1) == code
 
 
+def test_many_buckets_of_several_depths(spark):
+    """Codes beyond the number that is compared one by one."""
+    directory = Directory.sized(256, 1)
+    directory, _ = directory.grown({f"8-{code}": 2 for code in range(0, 256, 2)}, 1)
+    assert sorted({b.depth for b in directory.buckets.values()}) == [8, 9]
+    h = spark.range(-3000, 3000).select(F.xxhash64("id").alias("h"))
+    found = h.select("h", directory.name_of(F.col("h")).alias("b")).collect()
+    assert {r.b for r in found} == set(directory.buckets)
+    for value, name in found:
+        depth, code = map(int, name.split("-"))
+        assert value & ((1 << depth) - 1) == code
+
+
+def test_files_follow_the_rows_and_not_the_buckets(spark, tmp_path):
+    store = IndexedStore.create(people(spark, 0, 2000), str(tmp_path / "s"), max_rows=4)
+    buckets = sum(len(d.buckets) for d in store.tables.values())
+    assert buckets > 3000 and len(glob.glob(f"{tmp_path}/s/data/**/*.parquet", recursive=True)) < 30
+    some = sorted(store.tables["rows"].buckets)[:100]
+    wanted = store.whole("rows").filter(store.tables["rows"].name_of(F.col("_h")).isin(some))
+    assert plain(store.read("rows", some)) == plain(wanted) and wanted.count() > 100
+    assert plain(store.read("rows", some[:1])) == plain(wanted.filter(store.tables["rows"].name_of(F.col("_h")) == some[0]))
+
+
 @pytest.fixture(scope="module")
 def view(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
