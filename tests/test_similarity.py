@@ -86,3 +86,20 @@ def test_short_texts_under_hot_words_do_not_all_meet(spark):
     sets = spark.createDataFrame(rows, "side string, head long, tokens array<string>")
     found = match._met_by_length(match._pair_signatures(sets, 0.3), 0.3, 2, 100, 5)
     assert found.count() == 200 * 5
+
+
+def test_longer_texts_do_not_meet_under_a_single_hot_word(spark, monkeypatch):
+    """Only partners of very short texts meet under one word; texts of six words share two."""
+    formed, met = [], match._met
+
+    def counted(left, right, *more, **named):
+        formed.append(left.join(right, "signature").count())
+        return met(left, right, *more, **named)
+
+    monkeypatch.setattr(match, "_met", counted)
+    rows = [(i, f"main st a{i // 4} b{i // 4} c{i} d{i}") for i in range(400)] + [(i, "main") for i in range(400, 440)]
+    batch, store = ([r for r in rows if r[0] % 2 == side] for side in (0, 1))
+    frames = [spark.createDataFrame(some, SCHEMA) for some in (batch, store)]
+    found = {tuple(r) for r in match.similar_topk(*frames, k=2, hot=100).collect()}
+    assert found == brute(batch, store, 0.3, 2)
+    assert sum(formed) < 5_000
