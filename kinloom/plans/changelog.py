@@ -93,7 +93,10 @@ class LoggedTable(BucketStore):
         for field in self.schemas["base"].fields:
             if field.name not in delta.columns:
                 delta = delta.withColumn(field.name, F.lit(None).cast(field.dataType))
-        path, counts = write_rows(delta, label, f"{self.folder}/delta", len(self.tables["base"].buckets), self.max_rows)
+        # Folders by the rows of the delta: a small one falls into many buckets, with few rows in each.
+        delta = cut_lineage(delta)
+        buckets = min(len(self.tables["base"].buckets), -(-delta.count() // self.max_rows))
+        path, counts = write_rows(delta, label, f"{self.folder}/delta", buckets, self.max_rows)
         touched = sorted(counts)
         seq = self.content["seq"] + 1
         deltas = dict(self.deltas)

@@ -81,3 +81,14 @@ def test_buckets_split_when_compacted_and_empty_changes(spark, tmp_path):
     LoggedTable.latest(spark, folder).compact("split")
     done = LoggedTable.latest(spark, folder)
     assert len(done.tables["base"].buckets) >= 16 and done.rows().count() == 200
+
+
+def test_a_small_change_of_a_large_table_is_one_folder(spark, tmp_path):
+    """Its rows lie in very many buckets; folders follow the rows."""
+    rows = spark.range(200_000).selectExpr("id AS k", "'old' AS v")
+    table = LoggedTable.create(rows, ["k"], str(tmp_path), max_rows=100)
+    touched = table.change(rows.filter("k % 1000 = 7").selectExpr("k", "'new' AS v"), rows.filter("k % 1000 = 8"), "one")
+    assert len(touched) > 100
+    assert len(list(tmp_path.glob("delta/*/_part=*"))) == 1
+    after = LoggedTable.latest(spark, str(tmp_path)).rows().groupBy("v").count().collect()
+    assert dict(after) == {"old": 199_600, "new": 200}
