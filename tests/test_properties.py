@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinloom.catalogue import identity
 from kinloom.operators import graph, match, rules
-from kinloom.plans.resolve import resolve_batch
+from kinloom.plans.resolve import match_batch, resolve_batch
 
 
 def roots(nodes, edges):
@@ -193,3 +193,18 @@ def test_rows_without_full_key_are_never_superseded(spark, sf_dir):
     batch = identity.batch(ident).withColumn("source_customer_id", F.lit(None).cast("string"))
     result = resolve_batch(batch, identity.store(ident), CONTEXT)
     assert result.rejects.count() == 0 and result.export.count() == batch.count()
+
+
+def test_a_computed_batch_is_computed_once(spark):
+    """Whatever a caller derives its batch by is not repeated for every reader of the batch."""
+    ident = identity.ident(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    batch = identity.batch(ident)
+    rows = match_batch(batch.withColumn("ml_first_name", counted("ml_first_name")), identity.store(ident), CONTEXT).rows
+    assert rows.count() and seen.value <= 2 * batch.count()

@@ -103,3 +103,22 @@ def test_longer_texts_do_not_meet_under_a_single_hot_word(spark, monkeypatch):
     found = {tuple(r) for r in match.similar_topk(*frames, k=2, hot=100).collect()}
     assert found == brute(batch, store, 0.3, 2)
     assert sum(formed) < 5_000
+
+
+def test_words_of_one_side_make_no_signatures(spark, monkeypatch):
+    """Only what both sides have can be shared; a text with too little of it meets nothing."""
+    offered, signatures = [], match._pair_signatures
+
+    def counted(sets, threshold):
+        keyed = signatures(sets, threshold)
+        offered.append(keyed.count())
+        return keyed
+
+    monkeypatch.setattr(match, "_pair_signatures", counted)
+    words = "main st apt m2 town b7".split()
+    batch = [(i, " ".join([*(f"{c}{i}" for c in "pqrstu"), *words[: i % 7]])) for i in range(70)]
+    store = [(1000 + i, " ".join([*(f"{c}{i}" for c in "vwxyz"), *words[i % 3 : 6]])) for i in range(30)]
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (batch, store)]
+    found = {tuple(r) for r in match.similar_topk(*frames, k=50).collect()}
+    assert found == brute(batch, store, 0.3, 50) and found
+    assert sum(offered) < 1_000
