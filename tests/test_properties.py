@@ -208,3 +208,19 @@ def test_a_computed_batch_is_computed_once(spark):
     batch = identity.batch(ident)
     rows = match_batch(batch.withColumn("ml_first_name", counted("ml_first_name")), identity.store(ident), CONTEXT).rows
     assert rows.count() and seen.value <= 2 * batch.count()
+
+
+def test_forms_of_a_name_are_offered_once(spark, monkeypatch):
+    """Equal names under one e-mail go on as one, however many profiles have them; near names still meet."""
+    rows = [(i, "a@x", f"55{i}", ("Anna", "Anne", "Bob")[i % 3], "Lee") for i in range(300)] + [(300, "b@x", "1", "Zoe", "Lee")]
+    names = "batch_record_id long, ml_email_address string, ml_phone string, ml_first_name string, ml_last_name string"
+    offered, grouped = [], match._grouped
+
+    def counted(keyed):
+        offered.append(keyed.count())
+        return grouped(keyed)
+
+    monkeypatch.setattr(match, "_grouped", counted)
+    found = {r.batch_record_id: (r.MatchID, r.ConfidenceLevel) for r in match.match_entities(spark.createDataFrame(rows, names)).collect()}
+    assert found == {i: (2 if i % 3 == 2 else 0, 0.95) for i in range(300)} | {300: (None, None)}
+    assert sum(offered) < 1_200
