@@ -50,8 +50,8 @@ def key_hash(record: str = "batch_record_id") -> Column:
     return F.xxhash64(F.coalesce(match.record_key(), F.col(record).cast("string")))
 
 
-def _values(features: Sequence[str], columns: Sequence[str]) -> Column:
-    """Array of the hashes under which a row can be found, texts apart."""
+def _values(features: Sequence[str], columns: Sequence[str], only: str | None = None) -> Column:
+    """Array of the hashes under which a row can be found, texts apart; those of one kind with ``only``."""
     kinds = {
         "email": lookup_key("ml_email_address"),
         "guest": F.col("rules_guest_id"),
@@ -59,7 +59,7 @@ def _values(features: Sequence[str], columns: Sequence[str]) -> Column:
         "twin": person_digest(features),
     }
     present = {"email": "ml_email_address", "guest": "rules_guest_id", "uxid": "uxid"}
-    kinds = {k: c for k, c in kinds.items() if present.get(k, "uxid") in columns or k == "twin"}
+    kinds = {k: c for k, c in kinds.items() if only in (None, k) and (present.get(k, "uxid") in columns or k == "twin")}
     return F.array_compact(F.array(*[F.when(c.isNotNull(), F.xxhash64(F.lit(k), c)) for k, c in kinds.items()]))
 
 
@@ -90,17 +90,25 @@ class IndexedStore(BucketStore):
     def __init__(self, spark: SparkSession, folder: str, version: int):
         super().__init__(spark, folder, version)
         self.features = self.content["features"]
+        self.texts = self.content.get("texts", True)
 
     @classmethod
-    def create(cls, rows: DataFrame, folder: str, max_rows: int = MAX_ROWS) -> IndexedStore:
-        """Version 0 of a store from whole rows, one per key."""
+    def create(cls, rows: DataFrame, folder: str, max_rows: int = MAX_ROWS, texts: bool = True) -> IndexedStore:
+        """Version 0 of a store from whole rows, one per key.
+
+        Most index entries are signatures of texts; a store without ``texts`` has none of them
+        and answers ``known`` only.
+        """
         rows = cut_lineage(rows.withColumn("_h", key_hash()))
         features = match.feature_columns(rows)
-        texts = rows.select(F.explode(F.array_distinct(F.split(F.lower(similarity_text(rows)), r"\s+"))).alias("w"))
-        words = cut_lineage(texts.filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("df")))
-        entries = cut_lineage(_entries(rows, features, words))
+        if texts:
+            found = rows.select(F.explode(F.array_distinct(F.split(F.lower(similarity_text(rows)), r"\s+"))).alias("w"))
+            words = cut_lineage(found.filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("df")))
+        else:
+            words = rows.sparkSession.createDataFrame([], "w string, df long")
+        entries = cut_lineage(_entries(rows, features, words if texts else None))
         tables = {"rows": (rows, F.col("_h")), "index": (entries, F.col("v")), "words": (words, F.xxhash64("w"))}
-        return cls.first(rows.sparkSession, folder, tables, max_rows, features=features)
+        return cls.first(rows.sparkSession, folder, tables, max_rows, features=features, texts=texts)
 
     # ---- reading
 
@@ -113,11 +121,27 @@ class IndexedStore(BucketStore):
         wanted = rows.select(words.alias("w")).distinct().withColumn("h", F.xxhash64("w"))
         return self.read("words", self.note("words", wanted, "h", read))
 
-    def lookup(self, batch: DataFrame, record: str = "batch_record_id") -> Lookup:
-        """Everything stored that resolving ``batch`` may need."""
+    def known(self, batch: DataFrame, record: str = "batch_record_id") -> Lookup:
+        """The stored rows that ``match.exact_match`` needs for ``batch``: those of its keys and digests."""
+        self._check(batch)
+        read: dict[str, list[str]] = {}
+        keys = cut_lineage(batch.select(key_hash(record).alias("h"), _values(self.features, batch.columns, "twin").alias("vs")))
+        asked = cut_lineage(keys.select(F.explode("vs").alias("v")).distinct())
+        twins = self.read("index", self.note("index", asked, "v", read)).filter("n IS NULL").join(asked, "v", "left_semi")
+        hashes = cut_lineage(keys.select("h").union(twins.select("h")).distinct())
+        rows = self.read("rows", self.note("rows", hashes, "h", read)).join(hashes, F.col("_h") == F.col("h"), "left_semi")
+        return Lookup(cut_lineage(rows), read)
+
+    def _check(self, batch: DataFrame) -> None:
         missing = [c for c in self.features if c not in batch.columns]
         if missing:
             raise ValueError(f"the batch lacks columns that the store's digests hold: {missing}")
+
+    def lookup(self, batch: DataFrame, record: str = "batch_record_id") -> Lookup:
+        """Everything stored that resolving ``batch`` may need."""
+        self._check(batch)
+        if not self.texts:
+            raise ValueError("the store was created without texts: it cannot say which rows are similar")
         read: dict[str, list[str]] = {}
         # Keys and values of the batch, and the signatures of its texts.
         keys = cut_lineage(batch.select(key_hash(record).alias("h"), _values(self.features, batch.columns).alias("vs")))
@@ -153,7 +177,7 @@ class IndexedStore(BucketStore):
         after = cut_lineage(after.drop("_h").withColumn("_h", key_hash()))
         changed = cut_lineage(after.select("_h").distinct())
         before = before.join(changed, "_h", "left_semi")
-        words = self._frequency(before.unionByName(after, allowMissingColumns=True), {})
+        words = self._frequency(before.unionByName(after, allowMissingColumns=True), {}) if self.texts else None
         old, new = (cut_lineage(_entries(r, self.features, words)) for r in (before, after))
         gone, fresh = old.exceptAll(new), new.exceptAll(old)
         known = self.schemas["rows"]
@@ -173,10 +197,12 @@ class IndexedStore(BucketStore):
         return self.read("index", touched).alias("l").join(removed.alias("r"), same[0] & same[1] & same[2] & same[3], "left_anti")
 
 
-def _entries(rows: DataFrame, features: Sequence[str], words: DataFrame) -> DataFrame:
-    """(v, h, n, at): the index entries of stored rows; n and at are those of a text signature."""
+def _entries(rows: DataFrame, features: Sequence[str], words: DataFrame | None) -> DataFrame:
+    """(v, h, n, at): the index entries of stored rows; n and at are those of a text signature, which need ``words``."""
     none = F.lit(None).cast("int")
     values = rows.select(F.explode(_values(features, rows.columns)).alias("v"), F.col("_h").alias("h"), none.alias("n"), none.alias("at"))
+    if words is None:
+        return values.distinct()
     signed = _signed(rows, "_h", words).select("v", F.col("head").alias("h"), "n", "at")
     return values.unionByName(signed).distinct()
 
@@ -205,12 +231,15 @@ def resolve_into(
     ``before_commit`` may write the result elsewhere, in a way that a repetition replaces.
 
     When another job commits first the batch is resolved again, against what that job left;
-    a batch id that the store has taken already changes nothing.
+    a batch id that the store has taken already changes nothing.  The batch is materialised,
+    as every step reads it.
     """
+    materialised = False
     for attempt in range(attempts):
         store = IndexedStore.latest(spark, folder)
         if store.applied(batch_id):
             return Outcome(None, store.version, {}, {})
+        batch, materialised = (batch if materialised else cut_lineage(batch)), True
         asked = rules.run_rules(blanks_to_null(batch), rule_set, "pre_search", context)
         known = store.lookup(asked)
         result = resolve_batch(batch, known.rows.drop("_h"), context, rule_set)

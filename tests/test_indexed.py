@@ -187,3 +187,15 @@ def test_nulls_blanks_and_empty_batches(spark, tmp_path, monkeypatch):
     empty = IndexedStore.create(people(spark, 0, 0), str(tmp_path / "e"))
     resolve_into(spark, empty.folder, people(spark, 0, 3), CONTEXT, "b")
     assert IndexedStore.latest(spark, empty.folder).rows().count() == 3
+
+
+def test_an_exact_look_up_reads_keys_and_digests_only(spark, tmp_path):
+    """Rows that share an e-mail or a text with the batch stay unread; without signatures nothing similar can be asked."""
+    shared = people(spark, 0, 200).withColumn("ml_email_address", F.lit("all@x.org"))
+    store = IndexedStore.create(shared, str(tmp_path / "s"), max_rows=16, texts=False)
+    batch = shared.filter("batch_record_id < 3").withColumn("source_customer_id", F.lit("new"))
+    batch = batch.unionByName(shared.filter("batch_record_id = 9").withColumn("ml_last_name", F.lit("Changed")))
+    assert sorted(r.batch_record_id for r in store.known(batch).rows.collect()) == [0, 1, 2, 9]
+    assert sum(b.rows for b in store.tables["index"].buckets.values()) <= 4 * 200
+    with pytest.raises(ValueError, match="without texts"):
+        store.lookup(batch)
