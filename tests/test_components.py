@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kinloom.catalogue import growing
+from kinloom.catalogue.registry import Source
 from kinloom.operators.graph import connected_components
 from kinloom.plans import components
 from kinloom.plans.components import ComponentStore, add_edges
@@ -82,3 +84,16 @@ def test_a_giant_component_is_many_buckets(spark, tmp_path, monkeypatch):
     changes = add_edges(spark, folder, spark.range(0), spark.createDataFrame([(2000, 500)], "src long, dst long"), "one")
     assert changes.labels.collect() == [(2000, None, 0)] and len(changes.written["members"]) <= 4
     assert ComponentStore.latest(spark, folder).labels().filter("component <> 0").isEmpty()
+
+
+def test_the_links_of_the_rule_are_computed_once(spark, monkeypatch):
+    """Vertices and links come from one pass over the events."""
+    scans, cut = [], growing.cut_lineage
+
+    def counted(df):
+        scans.append("FileScan parquet" in df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(growing, "cut_lineage", counted)
+    assert growing.batched_components(Source(spark, "/root/testdata/sf0.001")).count()
+    assert sum(scans) == 1
