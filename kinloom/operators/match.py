@@ -160,10 +160,12 @@ def _token_sets(texts: DataFrame, frequency: DataFrame | None = None) -> DataFra
 
     Rarity is counted over both sides with map-side combining, and words that only one side has
     are left out; or it comes from ``frequency`` (w, df), in which a missing word counts as rarest
-    and stays.  Only the words of one person's text are ever gathered in one row.
+    and stays.  Only the words of one person's text are ever gathered in one row.  Further columns
+    of ``texts`` are kept.
     """
+    kept = [c for c in texts.columns if c != "text"]
     listed = F.array_distinct(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""))
-    words = texts.select("side", "head", listed.alias("_l")).select("side", "head", F.size("_l").alias("n"), F.explode("_l").alias("w"))
+    words = texts.select(*kept, listed.alias("_l")).select(*kept, F.size("_l").alias("n"), F.explode("_l").alias("w"))
     if frequency is None:
         counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min("side").alias("_first"), F.max("side").alias("_last"))
         ranked = words.join(counts.filter("_first <> _last").select("w", "df"), "w")
@@ -171,9 +173,9 @@ def _token_sets(texts: DataFrame, frequency: DataFrame | None = None) -> DataFra
         ranked = words.join(frequency, "w", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("long")))
     return (
         ranked
-        .groupBy("side", "head", "n")
+        .groupBy(*kept, "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ranked"))
-        .select("side", "head", "n", F.col("ranked.w").alias("tokens"))
+        .select(*kept, "n", F.col("ranked.w").alias("tokens"))
     )
 
 
@@ -225,17 +227,18 @@ def _extended(keyed: DataFrame, threshold: float, words: int) -> DataFrame:
 
 def _sides(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     sized = keyed.withColumns({"n": _size(keyed), "m": F.size("tokens")})
+    traits = [[F.col("trait").alias(t)] if "trait" in keyed.columns else [] for t in ("tx", "ty")]
     left = sized.filter("side = 'batch'").select(
-        "signature", "head", F.col("tokens").alias("x"), F.col("n").alias("nx"), (F.col("m") - F.col("at")).alias("rx")
+        "signature", "head", F.col("tokens").alias("x"), F.col("n").alias("nx"), (F.col("m") - F.col("at")).alias("rx"), *traits[0]
     )
     right = sized.filter("side = 'store'").select(
-        "signature", F.col("head").alias("other"), F.col("tokens").alias("y"), F.col("n").alias("ny"), (F.col("m") - F.col("at")).alias("ry")
+        "signature", F.col("head").alias("other"), F.col("tokens").alias("y"), F.col("n").alias("ny"), (F.col("m") - F.col("at")).alias("ry"), *traits[1]
     )
     return left, right
 
 
 def _met(left: DataFrame, right: DataFrame, threshold: float, words: int, exactly: bool = False) -> DataFrame:
-    """(head, other, score) of the similar pairs whose first ``words`` shared words are a signature.
+    """(head, other, score) of the similar pairs whose first ``words`` shared words are a signature, with their traits if any.
 
     ``exactly``: only those that share no other word.
     """
@@ -243,7 +246,7 @@ def _met(left: DataFrame, right: DataFrame, threshold: float, words: int, exactl
     # then all other shared words stand behind the signature in both texts, which
     # rules most meetings out by arithmetic alone.
     joined = left.join(right, "signature")
-    possible = words + F.least("rx", "ry")
+    possible = F.lit(words) if exactly else words + F.least("rx", "ry")
     wanted = (F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)
     joined = joined.filter(possible >= wanted)
     shared = joined.withColumn("_both", F.array_intersect("x", "y"))
@@ -253,7 +256,7 @@ def _met(left: DataFrame, right: DataFrame, threshold: float, words: int, exactl
         shared = shared.filter(common == words)
     union = F.col("nx") + F.col("ny") - common
     return shared.filter((lead == F.col("signature")) & (common >= union * F.lit(threshold) - F.lit(_EPS))).select(
-        "head", "other", F.round(common / union, 6).alias("score")
+        "head", "other", F.round(common / union, 6).alias("score"), *[t for t in ("tx", "ty") if t in shared.columns]
     )
 
 
@@ -278,7 +281,9 @@ def _met_by_length(keyed: DataFrame, threshold: float, words: int, hot: int, k:
     its first words.  One that shares just the signature consists of texts so short that neither
     must share more; of those only the ``k`` smallest stored texts of each size can be among the
     ``k`` best of a text: all of a size share at least the signature with it, so they are at least
-    as similar as any other of that size that shares no more.  With ``k`` None all pairs meet.
+    as similar as any other of that size that shares no more.  Where a scorer ranks texts by their
+    ``trait``, it is the ``k`` smallest of each size and trait: all are similar to the text if one
+    of them is, and score alike.  With ``k`` None all pairs meet.
 
     From ``_MOST_WORDS`` words on, texts with more than ``_MOST_REST`` words behind the signature
     meet everything under it, as they would be offered under too many longer ones.
@@ -299,7 +304,8 @@ def _met_by_length(keyed: DataFrame, threshold: float, words: int, hot: int, k:
         split = split.filter(F.size("tokens") - F.col("at") <= _MOST_REST)
     left, right = _sides(split.filter(_shared_words(_size(split), threshold) <= words))
     if k is not None:
-        right = top_per_group(right, ["signature", "ny"], [F.col("other")], k)
+        alike = ["ny", "ty"] if "ty" in right.columns else ["ny"]
+        right = top_per_group(right, ["signature", *alike], [F.col("other")], k)
     found = found.unionByName(_met(left, right, threshold, words, exactly=True))
     longer = cut_lineage(_extended(split, threshold, words + 1))
     return found.unionByName(_met_by_length(longer, threshold, words + 1, hot, k))
@@ -314,26 +320,32 @@ def similar_topk(
     threshold: float = 0.3,
     scorer: Scorer | None = None,
     hot: int = HOT_MEETINGS,
+    traits: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """The ``k`` most similar stored records of each batch record, by exact Jaccard.
 
     A ``scorer`` of two texts (columns ``text`` and ``other_text``) ranks the pairs at or
-    above the threshold instead; its scores are rounded to six digits.
+    above the threshold instead; its scores are rounded to six digits.  With ``traits``, expressions
+    over the column ``text``, it sees these of both texts only (columns ``name`` and ``other_name``
+    of each), so texts with equal traits score alike.
 
     Every batch record with a text is answered, and every stored record counts by
     itself, ties by the smaller record id.  In between, records with equal texts are one
     text, so a heavily copied text is compared once.  Every pair at or above the
     threshold is found: texts that must share two words meet under pairs of words, the
     few so short that one word may do meet under single words.  A pair of words under which
-    more than ``hot`` pairs of texts would meet is extended word by word; without a ``scorer``
-    pairs that cannot be among the ``k`` best are left out there.
+    more than ``hot`` pairs of texts would meet is extended word by word; pairs that cannot be among
+    the ``k`` best are left out there, unless a ``scorer`` sees whole texts.
     """
+    if traits is not None and scorer is None:
+        raise ValueError("traits are what a scorer sees: there is none")
     named = [
         df.filter(F.trim(text) != "").select(F.col(text).alias("text"), F.col(record).alias("record"))
         for df in (batch, store)
     ]
     heads = [n.groupBy("text").agg(F.min("record").alias("head")) for n in named]
-    sides = [h.select(F.lit(side).alias("side"), "head", "text") for h, side in zip(heads, ("batch", "store"), strict=True)]
+    trait = [F.struct(*[c.alias(n) for n, c in traits.items()]).alias("trait")] if traits else []
+    sides = [h.select(F.lit(side).alias("side"), "head", "text", *trait) for h, side in zip(heads, ("batch", "store"), strict=True)]
     # Tokenised once; both kinds of signatures read it on both sides.
     sets = _token_sets(sides[0].union(sides[1]))
     # A text that can share fewer words than any partner asks for has none.
@@ -341,16 +353,22 @@ def similar_topk(
     lone = _shared_words(F.col("n"), threshold) < 2
     # A partner of a one-word text has at most 1 / t times its words.
     small = F.col("n") * F.lit(threshold * threshold) <= F.lit(1 + _EPS)
-    limit = k if scorer is None else None
+    limit = k if scorer is None or traits else None
     found = _met_by_length(_pair_signatures(sets.filter(~lone), threshold), threshold, 2, hot, limit).unionByName(
         _met_short(_single_signatures(sets.filter(small), threshold), threshold, hot, limit)
     )
     if scorer is not None:
-        pairs = found.drop("score").join(heads[0], "head").join(heads[1].toDF("other_text", "other"), "other")
-        scored = score_pairs(pairs, scorer, ["text", "other_text"])
-        found = cut_lineage(scored.select("head", "other", F.round("score", 6).alias("score")))
+        if traits:
+            seen = [F.col(f"{t}.{n}").alias(f"{other}{n}") for t, other in (("tx", ""), ("ty", "other_")) for n in traits]
+            pairs, needs = found.select("head", "other", *seen), [f"{other}{n}" for other in ("", "other_") for n in traits]
+        else:
+            pairs = found.drop("score").join(heads[0], "head").join(heads[1].toDF("other_text", "other"), "other")
+            needs = ["text", "other_text"]
+        found = score_pairs(pairs, scorer, needs).select("head", "other", F.round("score", 6).alias("score"))
     # The k best records lie among the k best texts, and among the k smallest records of each.
     texts = top_per_group(found, ["head"], [F.col("score").desc(), F.col("other")], k)
+    if scorer is not None:
+        texts = cut_lineage(texts)
     others = heads[1].withColumnRenamed("head", "other").join(named[1], "text")
     others = top_per_group(others, ["other"], [F.col("record")], k).select("other", F.col("record").alias("similar_record_id"))
     best = top_per_group(

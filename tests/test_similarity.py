@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from kinloom.operators import match
 
@@ -122,3 +125,61 @@ def test_words_of_one_side_make_no_signatures(spark, monkeypatch):
     found = {tuple(r) for r in match.similar_topk(*frames, k=50).collect()}
     assert found == brute(batch, store, 0.3, 50) and found
     assert sum(offered) < 1_000
+
+
+def nearest_length():
+    """A scorer: minus the difference of the lengths."""
+
+    def score(pairs: pa.RecordBatch) -> pa.Array:
+        return pc.negate(pc.abs(pc.subtract(pairs.column("length"), pairs.column("other_length"))))
+
+    return score
+
+
+def brute_by_length(batch, store, k):
+    best = set()
+    for record, text in batch:
+        others = [(abs(len(text) - len(its)), other) for other, its in store if brute([(record, text)], [(other, its)], 0.3, 1)]
+        best |= {(record, other, -float(far)) for far, other in sorted(others)[:k]}
+    return best
+
+
+@pytest.mark.parametrize(("hot", "k"), [(0, 1), (0, 3), (20, 2), (10**9, 2)])
+def test_the_best_by_a_scorer_of_traits(hot, k, spark):
+    """Texts of equal traits score alike, so the best few of each answer like every pair, ties included."""
+    rng = random.Random(6)
+
+    def people(first, size):
+        common = ["main", "st", "apt", "1", "m2", "town"]
+        rows = [(first + i, " ".join([f"u{rng.randrange(6)}", *rng.sample(common, rng.randrange(7))])) for i in range(size)]
+        return rows + [(first + size, rows[0][1]), (first + size + 1, "Main")]
+
+    batch, store = people(0, 60), people(1000, 80)
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (batch, store)]
+    traits = {"length": F.length("text")}
+    found = [tuple(r) for r in match.similar_topk(*frames, k=k, hot=hot, scorer=nearest_length(), traits=traits).collect()]
+    assert len(found) == len(set(found)) and set(found) == brute_by_length(batch, store, k)
+
+
+def test_a_scorer_of_traits_does_not_see_all_pairs(spark, monkeypatch):
+    """Texts that share just two frequent words: 200 by 200 pairs are similar, a few of each are scored."""
+    scored, score_pairs = [], match.score_pairs
+
+    def counted(pairs, scorer, needs, *more):
+        assert needs == ["length", "other_length"]
+        scored.append(pairs.count())
+        return score_pairs(pairs, scorer, needs, *more)
+
+    monkeypatch.setattr(match, "score_pairs", counted)
+    rows = [(i, f"{'abc'[i % 3] * (i // 2 % 4 + 1)}{i} main st") for i in range(100, 500)]
+    batch, store = ([r for r in rows if r[0] % 2 == side] for side in (0, 1))
+    frames = [spark.createDataFrame(some, SCHEMA) for some in (batch, store)]
+    found = {tuple(r) for r in match.similar_topk(*frames, k=2, hot=100, scorer=nearest_length(), traits={"length": F.length("text")}).collect()}
+    assert found == brute_by_length(batch, store, 2)
+    assert sum(scored) <= 200 * 4 * 2
+
+
+def test_traits_need_a_scorer(spark):
+    frame = spark.createDataFrame([(1, "a")], SCHEMA)
+    with pytest.raises(ValueError, match="traits"):
+        match.similar_topk(frame, frame, traits={"length": F.length("text")})
