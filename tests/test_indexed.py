@@ -199,3 +199,23 @@ def test_an_exact_look_up_reads_keys_and_digests_only(spark, tmp_path):
     assert sum(b.rows for b in store.tables["index"].buckets.values()) <= 4 * 200
     with pytest.raises(ValueError, match="without texts"):
         store.lookup(batch)
+
+
+def test_an_update_signs_only_texts_that_changed(spark, tmp_path, monkeypatch):
+    """Of 40 rows one changes its name and one its id; the index is that of the new rows."""
+    store = IndexedStore.create(people(spark, 0, 40), str(tmp_path / "s"), max_rows=16)
+    before = store.whole("rows")
+    after = before.withColumn("ml_first_name", F.when(F.col("batch_record_id") == 7, "Zoe").otherwise(F.col("ml_first_name")))
+    after = after.withColumn("uxid", F.when(F.col("batch_record_id") == 9, "new").otherwise(F.col("uxid")))
+    signed, real = [], indexed._signed
+
+    def counted(rows, *more):
+        signed.append(rows.count())
+        return real(rows, *more)
+
+    monkeypatch.setattr(indexed, "_signed", counted)
+    store.update(before, after, "b1")
+    assert signed == [1, 1]
+    latest = IndexedStore.latest(spark, store.folder)
+    entries = indexed._entries(latest.whole("rows"), latest.features, latest.whole("words"))
+    assert set(latest.whole("index").collect()) == set(entries.select(latest.whole("index").columns).collect())
