@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +79,37 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Actions on frames that are made inside drop their shuffle files when they end.
+
+    For results that are kept elsewhere: a frame that is read again would compute them anew.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
+    """Reliable checkpoint: survives the loss of any executor.  The shuffle files behind it go at once."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
+
+
+def drop_unused(spark: SparkSession) -> None:
+    """Lets Spark's cleaner find checkpoints and shuffles that nothing refers to any more.
+
+    It learns of them from the driver's garbage collector, which may see no cause to run for hours.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
