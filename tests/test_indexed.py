@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinloom.catalogue import growing, identity
+from kinloom.functions.text import similarity_text
 from kinloom.operators.rules import RunContext
 from kinloom.plans import indexed, manifest
 from kinloom.plans.buckets import Bucket, Directory
@@ -219,3 +220,54 @@ def test_an_update_signs_only_texts_that_changed(spark, tmp_path, monkeypatch):
     latest = IndexedStore.latest(spark, store.folder)
     entries = indexed._entries(latest.whole("rows"), latest.features, latest.whole("words"))
     assert set(latest.whole("index").collect()) == set(entries.select(latest.whole("index").columns).collect())
+
+
+def similar(batch, stored):
+    """Pairs of record ids whose texts share at least 0.3 of their words."""
+    words = {side: {r.batch_record_id: set((r.t or "").lower().split()) for r in df.withColumn("t", similarity_text(df)).collect()} for side, df in (("x", batch), ("y", stored))}
+    return {(i, j) for i, x in words["x"].items() for j, y in words["y"].items() if x and y and len(x & y) / len(x | y) >= 0.3}
+
+
+def mixed(spark, begin, end, tag):
+    """Rows whose texts share frequent and rare words with others, and hold words of their own."""
+    n = F.col("batch_record_id")
+    rows = people(spark, begin, end, tag).withColumn("ml_address_line_1", F.concat((n % 13).cast("string"), F.lit(" Main St")))
+    rows = rows.withColumn("ml_last_name", F.concat(F.lit("l"), (n % 29).cast("string"))).withColumn("ml_phone", F.concat(F.lit("p"), (n % 17).cast("string")))
+    return rows.withColumn("ml_first_name", F.when(n % 11 > 0, F.col("ml_first_name"))).withColumn("ml_email_address", F.when(n % 3 > 0, F.col("ml_email_address")))
+
+
+@pytest.mark.parametrize("share", [1, 12, 10**6])
+def test_similar_rows_are_found_whatever_words_are_rare(share, spark, tmp_path, monkeypatch):
+    """Words of the first version and of later ones, rare and frequent: the look-up misses no similar row."""
+    cheap(monkeypatch)
+    monkeypatch.setattr(indexed, "_RARE_SHARE", share)
+    store = IndexedStore.create(mixed(spark, 0, 90, "a"), str(tmp_path / "s"), max_rows=16)
+    resolve_into(spark, store.folder, mixed(spark, 70, 120, "b"), CONTEXT, "b1")
+    latest = IndexedStore.latest(spark, store.folder)
+    texts = latest.rows().withColumn("t", similarity_text(latest.rows())).collect()
+    assert {w for r in texts for w in r.t.lower().split()} <= {r.w for r in latest.whole("words").collect()}
+    entries = indexed._entries(latest.whole("rows"), latest.features, latest.whole("words"))
+    assert set(latest.whole("index").collect()) == set(entries.select(latest.whole("index").columns).collect())
+    batch = mixed(spark, 100, 140, "b").withColumn("source_customer_id", F.concat(F.lit("x"), F.col("source_customer_id")))
+    batch = batch.withColumns({c: F.lit(None).cast("string") for c in ("uxid", "rules_guest_id")})
+    wanted, known = similar(batch, latest.rows()), {r.batch_record_id for r in latest.lookup(batch).rows.collect()}
+    assert len(wanted) > 100 and {j for _, j in wanted} <= known
+
+
+def test_rare_words_make_few_index_entries(spark, tmp_path, monkeypatch):
+    """A rare word is one entry and not one for each word behind it; words that no stored text has make none."""
+    rows, sizes = mixed(spark, 0, 120, "a"), []
+    for share in (10**6, 1):
+        monkeypatch.setattr(indexed, "_RARE_SHARE", share)
+        store = IndexedStore.create(rows, str(tmp_path / f"s{share}"), max_rows=16)
+        sizes.append(store.whole("index").filter("n IS NOT NULL").count())
+    assert sizes[1] * 3 < sizes[0] * 2
+    strange = people(spark, 500, 520, "z")
+    assert indexed._signed(strange, "batch_record_id", store._frequency(strange, {})).isEmpty()
+
+
+def test_a_store_of_other_signatures_is_refused(spark, tmp_path):
+    store = IndexedStore.create(people(spark, 0, 5), str(tmp_path / "s"))
+    manifest.commit(spark, store.folder, 1, {k: v for k, v in store.content.items() if k != "signatures"})
+    with pytest.raises(ValueError, match="another version"):
+        IndexedStore.latest(spark, store.folder)

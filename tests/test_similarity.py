@@ -183,3 +183,40 @@ def test_traits_need_a_scorer(spark):
     frame = spark.createDataFrame([(1, "a")], SCHEMA)
     with pytest.raises(ValueError, match="traits"):
         match.similar_topk(frame, frame, traits={"length": F.length("text")})
+
+
+def test_a_rare_word_is_a_signature_by_itself(spark, monkeypatch):
+    """Texts whose first shared word is rare are offered once under it, and not under its pairs with all words behind it."""
+    offered, met = [], match._met
+
+    def counted(left, right, *more, **named):
+        offered.append(left.count() + right.count())
+        return met(left, right, *more, **named)
+
+    monkeypatch.setattr(match, "_met", counted)
+    batch, store = ([(first + i, " ".join(f"{c}{i // 2}" for c in "abcdefgh") + " main st") for i in range(300)] for first in (0, 1000))
+    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (batch, store)]
+    found = {tuple(r) for r in match.similar_topk(*frames, k=2).collect()}
+    assert found == {(2 * i + a, 1000 + 2 * i + b, 1.0) for i in range(150) for a in range(2) for b in range(2)}
+    assert offered[0] <= 2 * 150 * 8 and sum(offered) <= 5_000
+
+
+def test_names_meet_in_several_goes(spark, monkeypatch):
+    """Only names that share a form with another one meet under forms, however few stems are taken at once."""
+    rng, grouped, real = random.Random(9), [], match._grouped
+    rows = []
+    for i in range(120):
+        name = "".join(rng.choice("abcdefgh") for _ in range(9))
+        rows += [(2 * i, name, f"u{i % 30}@x"), (2 * i + 1, name.replace("a", "b", 1) if i % 3 == 0 else f"zz{i}yy", f"u{i % 30}@x")]
+    df = spark.createDataFrame(rows, "batch_record_id long, n string, ml_email_address string").selectExpr("batch_record_id", "n AS ml_first_name", "'l' AS ml_last_name", "ml_email_address")
+    rules = [match.MatchRule(0.85, ["email", "name~"])]
+    once = {tuple(r) for r in match.match_entities(df, rules=rules).select("batch_record_id", "MatchID", "ConfidenceLevel").collect()}
+
+    def counted(keyed):
+        grouped.append(keyed.count())
+        return real(keyed)
+
+    monkeypatch.setattr(match, "_grouped", counted)
+    monkeypatch.setattr(match, "_NAMES_AT_ONCE", 60)
+    assert {tuple(r) for r in match.match_entities(df, rules=rules).select("batch_record_id", "MatchID", "ConfidenceLevel").collect()} == once
+    assert sum(r[1] is not None for r in once) >= 40 and len(grouped) == 4 and sum(grouped) < 12 * 120
